@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from hustings.llm import exact_dedup, quality_rules, url_filters
+from hustings.llm import bpe, exact_dedup, license_scan, minhash_dedup, mixing, quality_rules, toxicity, url_filters
 
 #: (host, path, verdict) of the registered URL rules.
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -35,10 +34,23 @@ FROM parts LEFT JOIN (SELECT * FROM fits WHERE place = 1) USING (row_no)
 """
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(_table(spark, sf_dir, "documents")).drop("permissive")
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(_table(spark, sf_dir, "documents")).drop("domain_rate")
 
 
+def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash_dedup.near_duplicates(_table(spark, sf_dir, "documents"), width=3, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"))
 
@@ -49,7 +61,25 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
 """
 
-_QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [op1_url_filters, op3_quality_rules, op7_exact_dedup]
+def tokenizer(path: str | None = None) -> bpe.ByteBPE:
+    """The byte-level vocabulary at path, by default that of the installed public tokenizers."""
+    import public_tokenizers
+
+    return bpe.load(path or public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+
+
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip_digests(_table(spark, sf_dir, "documents"), tokenizer())
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
+
+
+_QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
+    op1_url_filters, op2_license_scan, op3_quality_rules, op4_minhash_dedup, op5_mixing, op7_exact_dedup, op9_bpe, op10_toxicity,
+]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
