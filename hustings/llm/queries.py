@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hustings.llm import bpe, exact_dedup, license_scan, minhash_dedup, mixing, quality_rules, toxicity, url_filters
+from hustings.llm import bpe, exact_dedup, license_scan, minhash_dedup, mixing, quality_rules, suffix_dedup, toxicity, url_filters
 
 #: (host, path, verdict) of the registered URL rules.
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -61,6 +61,10 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
 """
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"), with_text=False).drop("kept")
+
+
 def tokenizer(path: str | None = None) -> bpe.ByteBPE:
     """The byte-level vocabulary at path, by default that of the installed public tokenizers."""
     import public_tokenizers
@@ -78,7 +82,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
-    op1_url_filters, op2_license_scan, op3_quality_rules, op4_minhash_dedup, op5_mixing, op7_exact_dedup, op9_bpe, op10_toxicity,
+    op1_url_filters, op2_license_scan, op3_quality_rules, op4_minhash_dedup, op5_mixing, op7_exact_dedup, op8_suffix_dedup, op9_bpe, op10_toxicity,
 ]
 
 

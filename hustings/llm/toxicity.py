@@ -122,8 +122,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & ~held_out(F.col(id_col)))
     known = known.groupBy(F.col(id_col).alias("__id")).agg(F.max(label_col).cast("int").alias("label"))
     chosen = known.orderBy(F.xxhash64("__id"), "__id").limit(sample)
-    rows = docs.join(F.broadcast(chosen), F.col(id_col) == F.col("__id"))  # sample rows of two numbers
-    featured = map_arrow(rows.select(F.col("__id").alias("id"), "label", text_col), _features, "id long, label int, features array<int>")
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = texts.join(F.broadcast(chosen), F.col("id") == F.col("__id"))  # sample rows of two numbers
+    featured = map_arrow(rows.select("id", "label", "text"), _features, "id long, label int, features array<int>")
     ordered = featured.repartition(1).sortWithinPartitions(F.xxhash64("id", F.lit(2)), "id")  # sample rows
     found = {r["index"]: r["weight"] for r in ordered.mapInArrow(_train, "index long, weight double").collect()}  # at most 2**BITS + 1
     weights = np.zeros(1 << BITS)
