@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
 from hustings.llm._spark import map_arrow
 
@@ -179,6 +179,28 @@ def encode(docs: DataFrame, tokenizer: ByteBPE, text_col: str = "text", out_col:
     return map_arrow(docs.select(*others), over, schema)
 
 
+def encode_checked(docs: DataFrame, tokenizer: ByteBPE, text_col: str = "text", out_col: str = "token_ids") -> DataFrame:
+    """docs with the ids of each text, their number n_tokens, and round_trip: whether the ids decode to the text."""
+    shipped = _shipped(docs, tokenizer)
+    added = [out_col, "n_tokens", "round_trip"]
+    others = [c for c in docs.columns if c not in added]
+    place = others.index(text_col)
+
+    def over(batch: pa.RecordBatch) -> pa.RecordBatch:
+        bpe = shipped.value
+        ids, same = [], []
+        for text, x in _encoded(batch.column(place), bpe):
+            ids.append(np.frombuffer(x, "<u4").astype(np.int32))
+            same.append(bpe.decode(x) == text)
+        ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))
+        return pa.RecordBatch.from_arrays([*batch.columns, lists, pa.array(np.diff(ends).astype(np.int64)), pa.array(same)], [*others, *added])
+
+    kinds = (ArrayType(IntegerType()), LongType(), BooleanType())
+    schema = StructType([*docs.select(*others).schema, *(StructField(c, k) for c, k in zip(added, kinds, strict=True))])
+    return map_arrow(docs.select(*others), over, schema)
+
+
 def decode(encoded: DataFrame, tokenizer: ByteBPE, ids_col: str = "token_ids", out_col: str = "decoded") -> DataFrame:
     """encoded with the text of each array of ids; null ids give an empty text."""
     shipped = _shipped(encoded, tokenizer)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hustings.llm import bpe, exact_dedup, license_scan, minhash_dedup, mixing, quality_rules, suffix_dedup, toxicity, url_filters
+from hustings.llm import bpe, exact_dedup, license_scan, minhash_dedup, mixing, pii, quality_rules, suffix_dedup, toxicity, url_filters
 
 #: (host, path, verdict) of the registered URL rules.
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -51,6 +51,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.span_digests(pii.find_pii(_table(spark, sf_dir, "documents"), pii.train()))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"))
 
@@ -82,7 +86,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
-    op1_url_filters, op2_license_scan, op3_quality_rules, op4_minhash_dedup, op5_mixing, op7_exact_dedup, op8_suffix_dedup, op9_bpe, op10_toxicity,
+    op1_url_filters, op2_license_scan, op3_quality_rules, op4_minhash_dedup, op5_mixing, op6_pii, op7_exact_dedup, op8_suffix_dedup, op9_bpe, op10_toxicity,
 ]
 
 
