@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES: list = []
+from hustings.plans import matching_queries
+
+MODULES = [matching_queries]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
