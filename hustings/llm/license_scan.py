@@ -53,12 +53,12 @@ _FOLD = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x30 <= b <= 0x
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 
 
-def parse_expression(text: str) -> list[str] | None:
-    """The expression at the start of text in postfix order, or None if it is malformed."""
+def parse_expression(text: str, place: int = 0) -> list[str] | None:
+    """The expression at a place of text in postfix order, or None if it is malformed. It ends with its line."""
     out: list[str] = []
     stack: list[str] = []
     operand = False  # whether the last token ends an operand
-    depth = place = 0
+    depth = 0
     while m := _TOKEN.match(text, place):
         token = m[1]
         operator = token.upper() if token.upper() in _PRECEDENCE else None
@@ -143,7 +143,7 @@ def scan_text(text: str, phrases: ahocorasick.Automaton, tags: ahocorasick.Autom
     if b"identifier:" in (low := raw.translate(_LOWER)) or b"expression:" in low:
         folded = low.decode()
         for end, _ in tags.iter(folded):
-            postfix = parse_expression(text[end + 1 : end + 1 + 400].split("\n", 1)[0])
+            postfix = parse_expression(text, end + 1)
             if postfix:
                 named, free = evaluate(postfix)
                 labels |= named
