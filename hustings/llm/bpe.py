@@ -33,8 +33,8 @@ from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, Str
 
 from hustings.llm._spark import map_arrow
 
-#: Pieces that a worker remembers; the memo starts afresh when it is full.
-MEMO = 200_000
+#: Pieces that a worker remembers, about 200 bytes each; the memo starts afresh when it is full.
+MEMO = 1_000_000
 
 
 def byte_symbols() -> list[str]:
@@ -56,6 +56,11 @@ class ByteBPE:
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.ranks = {(ids[a], ids[b]): rank for rank, (a, b) in reversed([*enumerate(merges)])}
         self.merged = [ids[a + b] for a, b in merges]
+        byte_of = {i: b for b, i in enumerate(self.first.tolist())}
+        self.byte_ranks = np.full((256, 256), -1, np.int32)  # of pairs of single bytes
+        for (a, b), rank in self.ranks.items():
+            if a in byte_of and b in byte_of:
+                self.byte_ranks[byte_of[a], byte_of[b]] = rank
         self.pairs = [(ids[a], ids[b]) for a, b in merges]
         self.special = {t["content"]: t["id"] for t in vocabulary["added_tokens"]}
         self.bytes |= {i: s.encode() for s, i in self.special.items()}
@@ -76,7 +81,8 @@ class ByteBPE:
         """Ids of each piece."""
         raw = [p.encode() for p in pieces]
         ends = np.cumsum([len(r) for r in raw])
-        ids = self.first[np.frombuffer(b"".join(raw), np.uint8)].tolist()
+        data = np.frombuffer(b"".join(raw), np.uint8)
+        ids = self.first[data].tolist()
         n = len(ids)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         for e in ends.tolist():  # pieces don't touch
@@ -86,10 +92,14 @@ class ByteBPE:
             after[n - 1] = n
         index: dict[int, list[int]] = defaultdict(list)
         ranks = self.ranks
-        for i in range(n):
-            j = after[i]
-            if j < n and (rank := ranks.get((ids[i], ids[j]))) is not None:
-                index[rank].append(i)
+        begun = np.full(n, -1, np.int32)
+        begun[:-1] = self.byte_ranks[data[:-1], data[1:]]
+        begun[ends[ends > 0] - 1] = -1
+        order = np.argsort(begun, kind="stable")
+        order = order[np.searchsorted(begun[order], 0) :]
+        cuts = np.flatnonzero(np.diff(begun[order], prepend=-1))
+        for rank, a, b in zip(begun[order[cuts]].tolist(), cuts.tolist(), [*cuts[1:].tolist(), len(order)], strict=False):
+            index[rank] = order[a:b].tolist()
         active = [*index]
         heapq.heapify(active)
         while active:

@@ -154,3 +154,9 @@ def test_mixing(spark, docs, no_docs):
     assert all(abs(times[r.doc_id] - r.taken / r.size) <= 0.5 for r in got if r.size)
     assert mixing.mix(docs).count() == len(DOCS) and mixing.mix(no_docs).count() == 0 and mixing.mixed_rows(no_docs).count() == 0
     assert mixing.mixed_rows(docs).columns == docs.columns
+
+
+def test_bpe_pieces_without_merges():
+    tokenizer = queries.tokenizer()
+    assert tokenizer.encode_pieces([]) == [] and tokenizer.encode_batch([""]) == [b""]
+    assert [len(x) for x in tokenizer.encode_pieces(["a", "", "b"])] == [1, 0, 1]
