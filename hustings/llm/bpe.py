@@ -80,7 +80,7 @@ class ByteBPE:
     def encode_pieces(self, pieces: list[str]) -> list[np.ndarray]:
         """Ids of each piece."""
         raw = [p.encode() for p in pieces]
-        ends = np.cumsum([len(r) for r in raw])
+        ends = np.cumsum([len(r) for r in raw], dtype=np.int64)
         data = np.frombuffer(b"".join(raw), np.uint8)
         ids = self.first[data].tolist()
         n = len(ids)
