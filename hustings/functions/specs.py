@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from hustings.functions.text import norm, squeeze
+from hustings.functions.text import let, norm, squeeze
 
 RANGE_TYPE = "struct<lo:int,hi:int,parity:string>"
 SPEC_TYPE = f"struct<ranges:array<{RANGE_TYPE}>,singles:array<string>,raw:string>"
@@ -68,14 +68,22 @@ def number_list(body: Column, marked: Column | None = None) -> Column:
 
 def parse_street_spec(entry: Column) -> Column:
     """One entry ("Building 1-7, 9-31 (nepárne)") as a parsed struct."""
-    s0 = squeeze(F.regexp_replace(entry, _DASHES, "-"))
+    return let(squeeze(F.regexp_replace(entry, _DASHES, "-")), _parse_squeezed)
+
+
+def _parse_squeezed(s0: Column) -> Column:
     marked_text = F.regexp_extract(s0, _PARITY_TAIL, 0)
     parity = F.when(marked_text.rlike("(?iu)nepár"), "odd").when(marked_text != "", "even").otherwise("both")
     s = F.trim(F.regexp_replace(s0, _PARITY_TAIL, ""))
-    street, body = F.trim(F.regexp_extract(s, _STREET_AND_NUMBERS, 1)), F.trim(F.regexp_extract(s, _STREET_AND_NUMBERS, 2))
+    parts = F.struct(s.alias("s"), F.trim(F.regexp_extract(s, _STREET_AND_NUMBERS, 1)).alias("street"), F.trim(F.regexp_extract(s, _STREET_AND_NUMBERS, 2)).alias("body"), parity.alias("parity"))
+    return let(parts, lambda p: let(number_list(p["body"], p["parity"]), lambda spec: _classify(s0, p, spec)))
+
+
+def _classify(s0: Column, p: Column, spec: Column) -> Column:
+    s, street, body, parity = (p[c] for c in ("s", "street", "body", "parity"))
     listed = F.regexp_extract(s0, _REGISTER_LIST, 1)
     numbered = (body != "") & F.forall(_parts(body), lambda p: p.rlike(_NUMBER))
-    spec, none = number_list(body, parity), F.lit(None).cast(SPEC_TYPE)
+    none = F.lit(None).cast(SPEC_TYPE)
 
     def parsed(street: Column, key: Column, parity: Column, cls: Column, kind: str, spec: Column, warning: Column) -> Column:
         named = {"street": street, "street_norm": key, "parity": parity, "cls": cls, "number_kind": F.lit(kind), "spec": spec.cast(SPEC_TYPE), "parse_warning": warning}
@@ -113,9 +121,11 @@ def _rule(e: Column, pattern: str, out: str, parity_group: int | None = None) ->
 
 def to_spec_input(entry: Column) -> Column:
     """Parity words in any place as a trailing parenthesis; exclusions and section spans dropped."""
-    e = squeeze(entry)
-    e = F.trim(F.regexp_replace(e, r"(?iu)\s+okrem\s+č\.?\s*\d+.*$", ""))
-    e = F.regexp_replace(e, r"(?i)(\d+)/[a-z]\s*-\s*\1/[a-z]", "$1")
+    e = F.trim(F.regexp_replace(squeeze(entry), r"(?iu)\s+okrem\s+č\.?\s*\d+.*$", ""))
+    return let(F.regexp_replace(e, r"(?i)(\d+)/[a-z]\s*-\s*\1/[a-z]", "$1"), _trailing_parity)
+
+
+def _trailing_parity(e: Column) -> Column:
     both = r"(?iu)^(.+\d[\d\s/,-]*?)\s+(?:ne)?párne\s*,\s*(?:ne)?párne\s*$"
     before = r"(?iu)^(.+?)\s+(ne)?párne\s+(\d.*)$"
     after = r"(?iu)^(.+?\d[\d,\s/-]*[a-z]?)\s+(ne)?párne\s*$"
@@ -133,10 +143,12 @@ _TITLES = "JUDr|Mgr|Ing|PhDr|MUDr|RNDr|PaedDr|MVDr|ThDr|Bc|doc|prof"
 
 def prose_range(entry: Column) -> Column:
     """Ranges told in prose ("párne čísla od 2 do 20") as "2-20 (párne)"."""
-    e = squeeze(entry)
-    e = F.trim(F.regexp_replace(F.regexp_replace(e, r"(?iu)súp\.\s*č\.\s*\d+[a-z]?\s*,?\s*", ""), r",\s*,", ","))
-    e = F.trim(F.regexp_replace(e, r"^,\s*|\s*,$", ""))
-    # a list in parentheses that repeats the street replaces the range beside it
+    e = F.trim(F.regexp_replace(F.regexp_replace(squeeze(entry), r"(?iu)súp\.\s*č\.\s*\d+[a-z]?\s*,?\s*", ""), r",\s*,", ","))
+    return let(let(F.trim(F.regexp_replace(e, r"^,\s*|\s*,$", "")), _list_or_range), _spelled_range)
+
+
+def _list_or_range(e: Column) -> Column:
+    """A list in parentheses that repeats the street replaces the range beside it; notes and signatures go."""
     noted = rf"^(.*?)\s*\(([{_UPPER}][^)]*)\)\s*$"
     inner = F.trim(F.regexp_extract(e, noted, 2))
     outer = F.trim(F.regexp_extract(e, noted, 1))
@@ -153,6 +165,10 @@ def prose_range(entry: Column) -> Column:
         (r"(\d)\s*[–—-]\s*(\d)", "$1-$2"),
     ):
         e = F.trim(F.regexp_replace(e, pattern, out))
+    return e
+
+
+def _spelled_range(e: Column) -> Column:
     return F.coalesce(
         _rule(e, rf"(?iu)^(.+?)\s+(ne)?párne(?:\s+čísla)?\s+{_FROM_TO}\s*$", "$1 $3$4-$5$6", 2),
         _rule(e, rf"(?iu)^(.+?)\s+(?:čísla\s+)?{_FROM_TO}\s+(ne)?párne\s*$", "$1 $2$3-$4$5", 6),
@@ -169,17 +185,23 @@ def split_glued(entry: Column) -> Column:
 
 def expand_multi(entry: Column) -> Column:
     """One entry per number list where a street has several; a parity named once holds for all of them."""
-    e = squeeze(entry)
     # the numbers start at a digit after a blank that is no ordinal of the name
     start = rf"(?iu)^(.*?)\s((?:(?:ne)?párne\s+)?\d(?!\d*\.\s*[{_LOWER}]).*)$"
-    street, rest = F.trim(F.regexp_extract(e, start, 1)), F.regexp_extract(e, start, 2)
-    pieces = F.split(rest, r"(?iu)\s*,\s*(?=(?:ne)?párne\s)|\s*,\s*(?=\d+\s*[-–—]\s*\d)|\s+a\s+(?=\d)")
-    pieces = F.filter(F.transform(pieces, lambda p: F.trim(F.regexp_replace(F.trim(p), "^,|,$", ""))), lambda p: p != "")
     word = r"(?iu)(?:^|\s)((?:ne)?párne)(?=\s|$)"
-    named = F.array_distinct(F.filter(F.transform(pieces, lambda p: F.lower(F.regexp_extract(p, word, 1))), lambda w: w != ""))
-    shared = F.when(F.size(named) == 1, F.concat(F.lit(" "), F.element_at(named, 1))).otherwise("")
-    several = F.transform(pieces, lambda p: F.concat(street, F.lit(" "), p, F.when(p.rlike(word), "").otherwise(shared)))
-    return F.when((street != "") & (F.size(pieces) > 1), several).otherwise(F.array(entry))
+
+    def pieces_of(e: Column) -> Column:
+        pieces = F.split(F.regexp_extract(e, start, 2), r"(?iu)\s*,\s*(?=(?:ne)?párne\s)|\s*,\s*(?=\d+\s*[-–—]\s*\d)|\s+a\s+(?=\d)")
+        pieces = F.filter(F.transform(pieces, lambda p: F.trim(F.regexp_replace(F.trim(p), "^,|,$", ""))), lambda p: p != "")
+        return F.struct(F.trim(F.regexp_extract(e, start, 1)).alias("street"), pieces.alias("pieces"))
+
+    def expanded(p: Column) -> Column:
+        street, pieces = p["street"], p["pieces"]
+        named = F.array_distinct(F.filter(F.transform(pieces, lambda x: F.lower(F.regexp_extract(x, word, 1))), lambda w: w != ""))
+        shared = F.when(F.size(named) == 1, F.concat(F.lit(" "), F.element_at(named, 1))).otherwise("")
+        several = F.transform(pieces, lambda x: F.concat(street, F.lit(" "), x, F.when(x.rlike(word), "").otherwise(shared)))
+        return F.when((street != "") & (F.size(pieces) > 1), several).otherwise(F.array(entry))
+
+    return let(let(squeeze(entry), pieces_of), expanded)
 
 
 def normalize_entry(entry: Column) -> Column:
@@ -192,9 +214,11 @@ _DATE_STREET = rf"(?iu)^((?:ul(?:ica)?\.?|n[áa]m(?:estie)?\.?)?\s*\d+\.\s*[{_LO
 
 def parse_entry(entry: Column) -> Column:
     """An entry of a municipal document as a parsed struct: prose, parity words and streets named after dates included."""
-    prose = prose_range(entry)
-    name, rest = F.regexp_extract(prose, _DATE_STREET, 1), F.regexp_extract(prose, _DATE_STREET, 2)
-    plain = parse_street_spec(to_spec_input(prose))
-    dated = parse_street_spec(to_spec_input(F.concat(F.lit("Ulica "), rest)))
-    dated = dated.withField("street", squeeze(name)).withField("street_norm", norm(name))
-    return F.when(rest != "", dated).otherwise(plain)
+
+    def parsed(prose: Column) -> Column:
+        name, rest = F.regexp_extract(prose, _DATE_STREET, 1), F.regexp_extract(prose, _DATE_STREET, 2)
+        return let(parse_street_spec(to_spec_input(F.when(rest != "", F.concat(F.lit("Ulica "), rest)).otherwise(prose))), lambda p: (
+            F.when(rest != "", p.withField("street", squeeze(name)).withField("street_norm", norm(name))).otherwise(p)
+        ))
+
+    return let(prose_range(entry), parsed)
