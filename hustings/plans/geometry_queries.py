@@ -96,7 +96,7 @@ def hausdorff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return geometry.hausdorff(corners, moved, "site").select("site", F.round("d", 6).alias("d"))
 
 
-WAYS = "SELECT l_orderkey AS way_id, l_linenumber AS pos, l_partkey * 10 + l_linenumber AS node FROM {lineitem}"
+WAYS = "SELECT l_orderkey AS way_id, cast(l_linenumber AS bigint) * 10000000 + l_partkey AS pos, l_partkey * 10 + l_linenumber AS node FROM {lineitem}"
 
 
 def degree2_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
