@@ -217,7 +217,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sketches = stage_table(map_arrow(slim, _sketch(width, bands), "id long, n long, low long, high long, keys array<long>"))
     sketched = sketches.where("n > 0 and id is not null")
     same = ["n", "low", "high"]
-    classes = sketched.groupBy(*same).agg(F.min("id").alias("rep"))
+    classes = stage_table(sketched.groupBy(*same).agg(F.min("id").alias("rep")))  # read from a table, a join with it can be split
     members = stage_table(sketched.select("id", *same).join(classes, same).select("id", "rep"))
     # a document stored with two texts has two classes; its smallest stands for it in the buckets of both
     reps = members.groupBy("rep").agg(F.count("*").alias("size")).select(F.col("rep").alias("id"))
