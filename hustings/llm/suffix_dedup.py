@@ -272,7 +272,8 @@ def _remove(id_col: str, with_text: bool):
 def find_repeats(texts: DataFrame, window: int, gram: int) -> DataFrame:
     """k1, k2, begin, end: stretches of bytes to remove, which may overlap. texts: k1, k2, text."""
     found = stage_table(texts.where(F.octet_length("text") >= window).mapInArrow(_find_segments(window, gram), "anchor long, segment long, k1 long, k2 long, start int, count int"))
-    shared = found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    # read from a table, a join with it can be split where an anchor is frequent
+    shared = stage_table(found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"))
     # where segments may meet: a fraction of all
     meeting = stage_table(found.join(shared, "anchor", "left_semi"))
     place = F.struct("k1", "k2", "start", "count")
@@ -280,7 +281,7 @@ def find_repeats(texts: DataFrame, window: int, gram: int) -> DataFrame:
     copies = meeting.join(distinct.where("n > 1").select("anchor", "segment"), ["anchor", "segment"], "left_semi")
     whole = copies.select("k1", "k2", F.col("start").alias("begin"), (F.col("start") + F.col("count") + (window - 1)).alias("end"))
 
-    several = distinct.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1")
+    several = stage_table(distinct.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1"))
     wanted = distinct.join(several, "anchor").select(
         "at.k1", "at.k2", F.struct("anchor", "at.start", "at.count", (F.col("n") == 1).alias("alone")).alias("piece"), (F.col("kinds") > SHARD_SEGMENTS).alias("hot")
     )
