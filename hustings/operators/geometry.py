@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hustings.functions.text import let
+
 RING = "array<struct<x:double,y:double>>"
 
 
@@ -20,7 +22,7 @@ def _edges(ring: Column) -> Column:
 
 
 def signed_area(ring: Column) -> Column:
-    return F.aggregate(_edges(ring), F.lit(0.0), lambda s, e: s + (e["a"]["x"] * e["b"]["y"] - e["b"]["x"] * e["a"]["y"])) / 2
+    return let(ring, lambda r: F.aggregate(_edges(r), F.lit(0.0), lambda s, e: s + (e["a"]["x"] * e["b"]["y"] - e["b"]["x"] * e["a"]["y"])) / 2)
 
 
 def area(ring: Column) -> Column:
@@ -54,7 +56,7 @@ def clip_convex(ring: Column, window: Column) -> Column:
 
         return F.flatten(F.transform(_edges(rest), cut)).cast(RING)
 
-    return F.aggregate(_edges(window), ring.cast(RING), by_side)
+    return let(window, lambda w: F.aggregate(_edges(w), ring.cast(RING), by_side))
 
 
 def bounds(ring: Column) -> dict[str, Column]:
