@@ -42,11 +42,41 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(_table(spark, sf_dir, "documents")).drop("domain_rate")
 
 
+OP3 = r"""
+WITH d AS (SELECT row_number() OVER () AS rn, doc_id, source, coalesce(text, '') AS t, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+  list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM documents),
+windows AS (SELECT rn, i, count(*) OVER (PARTITION BY rn, w[i], w[i + 1], w[i + 2], w[i + 3], w[i + 4]) AS n FROM (SELECT rn, w, unnest(range(1, greatest(len(w) - 3, 1))) AS i FROM d)),
+repeated AS (SELECT rn, count(DISTINCT i + k) AS n FROM windows, range(5) t(k) WHERE n > 1 GROUP BY rn),
+m AS (SELECT doc_id, source, cast(len(w) AS bigint) AS n_words, cast(length(array_to_string(w, '')) AS bigint) AS word_chars, cast(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS bigint) AS n_symbols,
+  cast(len(l) - len(list_distinct(l)) AS bigint) AS n_dup_lines, len(l) AS n_lines, coalesce(r.n, 0) AS n_repeat_words FROM d LEFT JOIN repeated r USING (rn)),
+f AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m),
+dom AS (SELECT source, count(*) AS n, count(*) FILTER (WHERE base_failed) AS k FROM f GROUP BY source),
+prior AS (SELECT least(greatest(sum(k) / sum(n), 1e-6), 1 - 1e-6) AS mean, coalesce(var_samp(k / n), 0) AS spread, avg(1 / n) AS per FROM dom),
+s AS (SELECT mean, least(greatest(mean * (1 - mean) / greatest(spread - mean * (1 - mean) * per, 1e-6) - 1, 1), 1e6) AS strength FROM prior)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND NOT ((k + mean * strength) / (n + strength) > 0.5 AND (10 * n_symbols > n_words OR 10 * n_dup_lines > 3 * n_lines OR word_chars > 15 * n_words)) AS kept
+FROM f JOIN dom ON dom.source IS NOT DISTINCT FROM f.source, s
+"""
+
+
 def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash_dedup.near_duplicates(_table(spark, sf_dir, "documents"), width=3, percent=85)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+OP4 = r"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS rn, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+sh AS (SELECT DISTINCT rn, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s FROM d),
+n AS (SELECT rn, doc_id, count(s) AS n FROM d LEFT JOIN sh USING (rn) GROUP BY rn, doc_id),
+both_have AS (SELECT a.rn AS x, b.rn AS y, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.rn < b.rn GROUP BY ALL),
+link AS (SELECT a.doc_id AS u, b.doc_id AS v FROM both_have JOIN n a ON a.rn = x JOIN n b ON b.rn = y WHERE 100 * c >= 85 * (a.n + b.n - c)),
+edge AS (SELECT u, v FROM link UNION SELECT v, u FROM link),
+reach AS (SELECT DISTINCT doc_id AS node, doc_id AS seen FROM documents UNION SELECT r.node, e.v FROM reach r JOIN edge e ON e.u = r.seen),
+least_seen AS (SELECT node, min(seen) AS component_id FROM reach GROUP BY node)
+SELECT n.doc_id, n.n AS n_shingles, component_id, n.doc_id = component_id AS kept FROM n JOIN least_seen ON node = n.doc_id
+"""
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -95,4 +125,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filters": OP1, "op7_exact_dedup": OP7}
+    return {"op1_url_filters": OP1, "op3_quality_rules": OP3, "op4_minhash_dedup": OP4, "op7_exact_dedup": OP7}
