@@ -12,36 +12,56 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hustings.functions.text import endpoint_parity, house_norm, norm, num_part, parity_ok, street_key, tail_of
+from hustings.functions.text import endpoint_parity, house_norm, let, norm, num_part, parity_ok, street_key, tail_of
 
 
-def index_rules(rules: DataFrame) -> DataFrame:
-    """Rules with their street key and tail; rules without a street name are left out."""
+def keyed_rules(rules: DataFrame) -> DataFrame:
+    """Rules as printed with their street key and tail; rules without a street name are left out."""
     key = street_key(F.col("street_norm"))
     return rules.where("coalesce(street_norm, '') <> ''").withColumn("key", key).withColumn("tail", tail_of(F.col("key")))
 
 
-def _ranges_by_precinct(indexed: DataFrame) -> DataFrame:
-    return indexed.select("mcnorm", "key", "okrsok", "row_idx", F.posexplode("spec.ranges").alias("range_idx", "r")).where("r.parity = 'both'").withColumn("side", endpoint_parity(F.col("r.lo"), F.col("r.hi")))
+def index_rules(rules: DataFrame) -> DataFrame:
+    """Rules to match by: keyed, and the ranges of streets that are split by side resolved."""
+    return resolve_split_parity(keyed_rules(rules))
 
 
 def resolve_split_parity(indexed: DataFrame) -> DataFrame:
-    """Ranges of one street in two precincts that overlap and start and end on opposite sides get the side of their ends.
+    """Ranges of one street in two precincts that overlap and start and end on opposite sides get the side of their ends, if one of them is unmarked.
 
-    Pairs are found by equal street, and within it by opposite sides only; a range whose ends differ in parity never pairs.
+    An unmarked range is still unmarked when it first meets another, so any meeting settles it. A mark
+    that contradicts its range's ends gives way only to a range that is unmarked until then: one whose
+    first meeting, in source order, is this. Ranges are compared by kind, the distinct ones of a
+    precinct's street; a range whose ends differ in parity meets none.
     """
-    sided = _ranges_by_precinct(indexed).where("side is not null")
-    odd, even = (sided.where(F.col("side") == s).select("mcnorm", "key", *(F.col(c).alias(f"{s}_{c}") for c in ("okrsok", "row_idx", "range_idx", "r"))) for s in ("odd", "even"))
-    meet = (F.col("odd_okrsok") != F.col("even_okrsok")) & (F.col("odd_r.lo") <= F.col("even_r.hi")) & (F.col("even_r.lo") <= F.col("odd_r.hi"))
-    pairs = odd.join(even, ["mcnorm", "key"]).where(meet)
-    fixed = pairs.select(F.explode(F.array(*(F.struct(F.col(f"{s}_row_idx").alias("row_idx"), F.col(f"{s}_range_idx").alias("range_idx"), F.lit(s).alias("side")) for s in ("odd", "even")))).alias("f")).select("f.*").distinct()
-    by_row = fixed.groupBy("row_idx").agg(F.map_from_entries(F.collect_list(F.struct("range_idx", "side"))).alias("sides"))
-    ranges = F.transform(
-        "spec.ranges",
-        lambda r, i: F.struct(r["lo"].alias("lo"), r["hi"].alias("hi"), F.coalesce(F.try_element_at("sides", i), r["parity"]).alias("parity")),
-    )
-    spec = F.when(F.col("sides").isNotNull(), F.col("spec").withField("ranges", ranges)).otherwise(F.col("spec"))
-    return indexed.join(by_row, "row_idx", "left").withColumn("spec", spec).drop("sides")
+    ranges = indexed.select("mcnorm", "key", "okrsok", "row_idx", F.posexplode("spec.ranges").alias("range_idx", "r"))
+    sided = ranges.select("mcnorm", "key", "okrsok", "r.*", endpoint_parity(F.col("r.lo"), F.col("r.hi")).alias("side"), F.struct("row_idx", "range_idx").alias("pos"))
+    kinds = sided.where("side is not null").groupBy("mcnorm", "key", "okrsok", "lo", "hi", "side", "parity").agg(F.min("pos").alias("first"), F.max("pos").alias("last"))
+    streets = kinds.groupBy("mcnorm", "key").agg(F.collect_list(F.struct("okrsok", "lo", "hi", "side", "parity", "first", "last")).alias("kinds"))
+
+    def met(k: Column) -> Column:
+        return F.filter("kinds", lambda o: (o["okrsok"] != k["okrsok"]) & (o["side"] != k["side"]) & (o["lo"] <= k["hi"]) & (k["lo"] <= o["hi"]))
+
+    def first_met(k: Column, l: Column, h: Column) -> Column:  # noqa: E741
+        # pairs come in the order of their lower precinct's range: a range meets the first below before its own turn, or else the first above
+        return F.array_compact(F.array(F.when(h.isNull() | (k["last"] > l), l), F.when(l.isNull() | (k["first"] < l), h)))
+
+    def first_of(k: Column) -> Column:
+        earliest = lambda below: F.array_min(F.transform(F.filter(met(k), lambda o: (o["okrsok"] < k["okrsok"]) == below), lambda o: o["first"]))
+        return let(F.struct(earliest(True).alias("l"), earliest(False).alias("h")), lambda e: first_met(k, e["l"], e["h"]))
+
+    unmarked = F.filter("kinds", lambda k: k["parity"] == "both")
+    settled = F.transform(F.filter(unmarked, lambda k: F.size(met(k)) > 0), lambda k: F.struct(k["okrsok"].alias("okrsok"), k["lo"].alias("lo"), k["hi"].alias("hi")))
+    contradicted = F.exists("kinds", lambda k: (k["parity"] != "both") & (k["parity"] != k["side"]))
+    streets = streets.select("mcnorm", "key", settled.alias("settled"), F.when(contradicted, F.flatten(F.transform(unmarked, first_of))).alias("forced")).where("size(settled) > 0")
+
+    def resolved(r: Column, i: Column) -> Column:
+        told = (r["parity"] == "both") & F.array_contains("settled", F.struct(F.col("okrsok"), r["lo"].alias("lo"), r["hi"].alias("hi")))
+        told = told | F.coalesce(F.array_contains("forced", F.struct(F.col("row_idx"), i.alias("range_idx"))), F.lit(False))
+        return F.struct(r["lo"].alias("lo"), r["hi"].alias("hi"), F.when(told, endpoint_parity(r["lo"], r["hi"])).otherwise(r["parity"]).alias("parity"))
+
+    spec = F.when(F.col("settled").isNotNull(), F.col("spec").withField("ranges", F.transform("spec.ranges", resolved))).otherwise(F.col("spec"))
+    return indexed.join(streets, ["mcnorm", "key"], "left").withColumn("spec", spec).select(*indexed.columns)
 
 
 def row_matches(orient: Column, supisne: Column) -> Column:
@@ -112,9 +132,9 @@ def numbers_of_rules(indexed: DataFrame) -> DataFrame:
     return ranges.select("mcnorm", "key", "okrsok", "row_idx", F.explode(F.sequence("first", "r.hi", "step")).alias("number"))
 
 
-def collisions(indexed: DataFrame) -> DataFrame:
-    """House numbers that ranges give to more than one precinct."""
-    by_number = numbers_of_rules(indexed).groupBy("mcnorm", "key", "number").agg(F.array_sort(F.collect_set("okrsok")).alias("claims"))
+def collisions(keyed: DataFrame) -> DataFrame:
+    """House numbers that ranges, as printed, give to more than one precinct."""
+    by_number = numbers_of_rules(keyed).groupBy("mcnorm", "key", "number").agg(F.array_sort(F.collect_set("okrsok")).alias("claims"))
     return by_number.where(F.size("claims") > 1)
 
 

@@ -20,6 +20,10 @@ def rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsed.select("mcnorm", "line.okrsok", (F.col("n_nationkey") * 100 + F.col("line.entry")).alias("row_idx"), "p.*")
 
 
+def keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matching.keyed_rules(rules(spark, sf_dir))
+
+
 def indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matching.index_rules(rules(spark, sf_dir))
 
@@ -50,7 +54,7 @@ def uncovered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def collision_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = matching.collisions(indexed(spark, sf_dir))
+    found = matching.collisions(keyed(spark, sf_dir))
     return found.select("mcnorm", "key", "number", F.array_join(F.transform("claims", lambda c: c.cast("string")), ",").alias("claims"))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from hustings.functions import specs, text
 from hustings.operators import repair
 from hustings.plans.adapters import ADDRESSES, MATCHED, RULES, addresses, duck, sql, table
-from hustings.plans.matching_queries import indexed
+from hustings.plans.matching_queries import keyed
 from hustings.sources import readers
 
 
@@ -86,7 +86,7 @@ def html_list_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rule_for_address(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = addresses(spark, sf_dir).withColumns({"okrsok": (F.col("ra_id").cast("long") % 4 + 1).cast("int"), "assigned": F.when(F.col("ra_id").cast("long") % 50 == 0, "manual")})
-    return repair.rule_for(points, indexed(spark, sf_dir)).select("ra_id", "rule")
+    return repair.rule_for(points, keyed(spark, sf_dir)).select("ra_id", "rule")
 
 
 NAMES = "SELECT DISTINCT p_name AS street FROM {part}"

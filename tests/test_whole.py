@@ -1,8 +1,13 @@
 """Queries and operators over whole inputs, where a part would give other results."""
 
+import random
 import re
 import unicodedata
 
+from pyspark.sql import functions as F
+
+from hustings.functions import specs
+from hustings.operators import matching
 from hustings.plans import registry
 
 SMALL = "/root/testdata/sf0.001"
@@ -14,3 +19,38 @@ def test_norm_covers_whole_texts(spark):
     want = {k: re.sub(r"[\s\xa0]+", " ", re.sub("['’`´]", "", plain(s).lower())).strip(" ") for k, s in raw.items()}
     got = {r.doc_id: r.normed for r in registry.queries()["norm_text_whole"](spark, SMALL).collect()}
     assert got == want and any("." in s[:-1] for s in got.values())
+
+
+def resolved_one_by_one(rows):
+    """The rules' ranges as the source resolves them: in order, in place, pair by pair."""
+    items = [(r[0], r[1], r[2], [lo, hi, p]) for r in rows for lo, hi, p in r[4]]
+    side = lambda a, b: ("odd" if a % 2 else "even") if a % 2 == b % 2 else None
+    for *street, okr, x in items:
+        for *other, okr2, y in items:
+            if street != other or okr >= okr2 or "both" not in (x[2], y[2]) or not (x[0] <= y[1] and y[0] <= x[1]):
+                continue
+            s, t = side(*x[:2]), side(*y[:2])
+            if s and t and s != t:
+                x[2], y[2] = s, t
+    left = iter(items)
+    return {r[3]: [tuple(next(left)[3]) for _ in r[4]] for r in rows}
+
+
+def test_split_parity_as_one_by_one(spark):
+    rnd = random.Random(3)
+    spans = lambda: [(lo := rnd.randrange(1, 40), lo + rnd.randrange(0, 12), rnd.choice(["both", "both", "odd", "even"])) for _ in range(rnd.randrange(0, 4))]
+    rows = [("mc", f"k{rnd.randrange(25)}", rnd.randrange(4), k, spans()) for k in range(200)]
+    schema = "mcnorm string, key string, okrsok int, row_idx int, spec struct<ranges:array<struct<lo:int,hi:int,parity:string>>,singles:array<string>,raw:string>"
+    frame = spark.createDataFrame([(*r[:4], (r[4], [], "")) for r in rows], schema)
+    got = {r.row_idx: [tuple(x) for x in r.spec.ranges] for r in matching.resolve_split_parity(frame).collect()}
+    assert got == resolved_one_by_one(rows)
+
+
+def test_shared_houses_of_a_split_street(spark):
+    entries = [(55, "Tulská 2-38"), (56, "Tulská 1-59"), (1, "Dlhá 2-38 (párne)"), (2, "Dlhá 1-59"), (1, "Krátka 1-7"), (2, "Krátka 9-15")]
+    rules = spark.createDataFrame([("bb", o, k, e) for k, (o, e) in enumerate(entries)], "mcnorm string, okrsok int, row_idx int, entry string")
+    rules = rules.withColumn("p", specs.parse_street_spec(F.col("entry"))).select("mcnorm", "okrsok", "row_idx", "p.*")
+    houses = [(f"{s}{n}", "bb", s, str(n), None) for s in ("Tulská", "Dlhá") for n in (2, 7, 20, 37, 38)] + [("Krátka4", "bb", "Krátka", "4", None)]
+    addresses = spark.createDataFrame(houses, "ra_id string, mcnorm string, street string, orient string, supisne string")
+    got = {r.ra_id: (r.status, r.okrsok) for r in matching.match(addresses, matching.index_rules(rules)).collect()}
+    assert got == {f"{s}{n}": ("ok", o + n % 2) for s, o in (("Tulská", 55), ("Dlhá", 1)) for n in (2, 7, 20, 37, 38)} | {"Krátka4": ("ok", 1)}
