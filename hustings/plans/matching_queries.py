@@ -81,6 +81,22 @@ FROM {orders} WHERE o_orderpriority = '1-URGENT'
 """
 
 
+SPLIT_WHOLE = """
+SELECT o_orderkey AS row_idx, concat('mc', cast(o_custkey % 50 AS varchar(4))) AS mcnorm, concat('street ', cast(o_custkey % 7 AS varchar(2))) AS key,
+  cast(o_orderkey % 5 AS int) AS okrsok, cast(o_orderkey % 13 AS int) AS lo, cast(o_orderkey % 13 + 4 * (o_orderkey % 3) + CASE WHEN o_orderkey % 11 = 0 THEN 1 ELSE 0 END AS int) AS hi,
+  CASE WHEN o_orderkey % 4 <> 0 THEN 'both' WHEN o_orderkey % 13 % 2 = 1 THEN 'odd' ELSE 'even' END AS parity
+FROM {orders}
+"""
+
+
+def split_parity_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """split_parity over every order, a fourth of the ranges marked; split_parity takes urgent orders only, as its twin does."""
+    ranges = spark.sql(SPLIT_WHOLE, orders=table(spark, sf_dir, "orders"))
+    spec = F.struct(F.array(F.struct("lo", "hi", "parity")).alias("ranges"), F.array().cast("array<string>").alias("singles"), F.lit("").alias("raw"))
+    fixed = matching.resolve_split_parity(ranges.withColumn("spec", spec))
+    return fixed.select("row_idx", "okrsok", F.col("spec.ranges")[0]["parity"].alias("parity"))
+
+
 def split_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unmarked ranges of one street in several precincts get the side of their ends."""
     ranges = spark.sql(SPLIT, orders=table(spark, sf_dir, "orders"))
@@ -89,7 +105,7 @@ def split_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixed.select("row_idx", "okrsok", F.col("spec.ranges")[0]["parity"].alias("parity"))
 
 
-QUERIES = {f.__name__: f for f in (match_status, match_ambiguous, range_membership, seed_stats, collision_audit, self_test, top_unmatched, tail_fallback, split_parity)}
+QUERIES = {f.__name__: f for f in (match_status, match_ambiguous, range_membership, seed_stats, collision_audit, self_test, top_unmatched, tail_fallback, split_parity, split_parity_whole)}
 QUERIES["uncovered_rules"] = uncovered
 
 _KEY = MATCHED.rstrip()
@@ -117,4 +133,8 @@ ORACLES = {
     "split_parity": f"""WITH r AS ({SPLIT.replace("{orders}", "orders")}), s AS (SELECT *, lo % 2 = 1 AS odd FROM r)
       SELECT a.row_idx, a.okrsok, CASE WHEN EXISTS (SELECT 1 FROM s b WHERE b.mcnorm = a.mcnorm AND b.key = a.key AND b.okrsok <> a.okrsok AND b.odd <> a.odd AND a.lo <= b.hi AND b.lo <= a.hi)
         THEN CASE WHEN a.odd THEN 'odd' ELSE 'even' END ELSE 'both' END AS parity FROM s a""",
+    "split_parity_whole": f"""WITH r AS ({SPLIT_WHOLE.replace("{orders}", "orders")}), s AS (SELECT *, CASE WHEN lo % 2 = hi % 2 THEN CASE WHEN lo % 2 = 1 THEN 'odd' ELSE 'even' END END AS side FROM r),
+      k AS (SELECT DISTINCT mcnorm, key, okrsok, lo, hi, side FROM s WHERE side IS NOT NULL)
+      SELECT a.row_idx, a.okrsok, CASE WHEN a.parity = 'both' AND EXISTS (SELECT 1 FROM k b WHERE b.mcnorm = a.mcnorm AND b.key = a.key AND b.okrsok <> a.okrsok AND b.side <> a.side AND a.lo <= b.hi AND b.lo <= a.hi)
+        THEN a.side ELSE a.parity END AS parity FROM s a""",
 }

@@ -54,3 +54,9 @@ def test_shared_houses_of_a_split_street(spark):
     addresses = spark.createDataFrame(houses, "ra_id string, mcnorm string, street string, orient string, supisne string")
     got = {r.ra_id: (r.status, r.okrsok) for r in matching.match(addresses, matching.index_rules(rules)).collect()}
     assert got == {f"{s}{n}": ("ok", o + n % 2) for s, o in (("Tulská", 55), ("Dlhá", 1)) for n in (2, 7, 20, 37, 38)} | {"Krátka4": ("ok", 1)}
+
+
+def test_split_parity_takes_every_order_and_mark(spark):
+    orders = spark.read.parquet(f"{SMALL}/orders.parquet").count()
+    found = registry.queries()["split_parity_whole"](spark, SMALL)
+    assert found.count() == orders and {r.parity for r in found.select("parity").distinct().collect()} == {"both", "odd", "even"}
