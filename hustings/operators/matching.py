@@ -9,7 +9,7 @@ rules are folded by ra_id, so the plan has the candidates' join and one aggregat
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hustings.functions.text import endpoint_parity, house_norm, let, norm, num_part, parity_ok, street_key, tail_of
@@ -122,6 +122,13 @@ def uncovered_rules(matched: DataFrame, indexed: DataFrame) -> DataFrame:
     return left.select("mcnorm", "okrsok", "key", "cls", "row_idx", F.coalesce("ra_pts_on_street", F.lit(0).cast("long")).alias("ra_pts_on_street"))
 
 
+def top_unmatched(matched: DataFrame, most: int = 12) -> DataFrame:
+    """mcnorm, street, n: the streets of each area with the most addresses without a precinct."""
+    counts = matched.where("status <> 'ok'").groupBy("mcnorm", "street").agg(F.count("*").alias("n"))
+    place = F.row_number().over(Window.partitionBy("mcnorm").orderBy(F.desc("n"), "street"))
+    return counts.withColumn("place", place).where(F.col("place") <= most).drop("place")
+
+
 def numbers_of_rules(indexed: DataFrame) -> DataFrame:
     """A row per house number that a rule's ranges name."""
     ranges = indexed.select("mcnorm", "key", "okrsok", "row_idx", F.explode("spec.ranges").alias("r")).where("r.lo <= r.hi")

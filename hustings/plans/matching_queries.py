@@ -63,11 +63,16 @@ def self_test(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def top_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The twelve streets of an area with the most addresses without a precinct."""
+    """The twelve streets, of all areas together as in the twin, with the most addresses without a precinct."""
     left = matched(spark, sf_dir).where("status <> 'ok'").groupBy("mcnorm", "street").agg(F.count("*").alias("n"))
     return left.orderBy(F.desc("n"), "mcnorm", "street").limit(12)
 
 
+def top_unmatched_by_area(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twelve streets of each area with the most addresses without a precinct."""
+    return matching.top_unmatched(matched(spark, sf_dir))
+
+
 def tail_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Addresses whose street the rules know only by its last word."""
     found = matching.candidates(addresses(spark, sf_dir), indexed(spark, sf_dir))
@@ -105,7 +110,7 @@ def split_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixed.select("row_idx", "okrsok", F.col("spec.ranges")[0]["parity"].alias("parity"))
 
 
-QUERIES = {f.__name__: f for f in (match_status, match_ambiguous, range_membership, seed_stats, collision_audit, self_test, top_unmatched, tail_fallback, split_parity, split_parity_whole)}
+QUERIES = {f.__name__: f for f in (match_status, match_ambiguous, range_membership, seed_stats, collision_audit, self_test, top_unmatched, top_unmatched_by_area, tail_fallback, split_parity, split_parity_whole)}
 QUERIES["uncovered_rules"] = uncovered
 
 _KEY = MATCHED.rstrip()
@@ -128,6 +133,8 @@ ORACLES = {
         UNION ALL SELECT 'b' || i, 1, 'ok' FROM range(0, 25 + 24 + 31 + 3 + 3) t(i))
       SELECT concat('mc', cast(n_nationkey AS varchar)) AS mcnorm, result, count(*) AS n FROM nation, probe GROUP BY ALL""",
     "top_unmatched": f"{_KEY} SELECT mcnorm, street, count(*) AS n FROM matched WHERE status <> 'ok' GROUP BY mcnorm, street ORDER BY n DESC, mcnorm, street LIMIT 12",
+    "top_unmatched_by_area": f"""{_KEY} SELECT mcnorm, street, n FROM (SELECT mcnorm, street, count(*) AS n, row_number() OVER (PARTITION BY mcnorm ORDER BY count(*) DESC, street) AS k
+      FROM matched WHERE status <> 'ok' GROUP BY mcnorm, street) WHERE k <= 12""",
     "tail_fallback": f"""{_KEY} SELECT k.mcnorm, k.key AS rule_key, count(DISTINCT k.ra_id) AS n FROM keyed k SEMI JOIN rules r ON r.mcnorm = k.mcnorm AND r.key = k.key
       WHERE street LIKE 'A. %' GROUP BY ALL""",
     "split_parity": f"""WITH r AS ({SPLIT.replace("{orders}", "orders")}), s AS (SELECT *, lo % 2 = 1 AS odd FROM r)

@@ -60,3 +60,9 @@ def test_split_parity_takes_every_order_and_mark(spark):
     orders = spark.read.parquet(f"{SMALL}/orders.parquet").count()
     found = registry.queries()["split_parity_whole"](spark, SMALL)
     assert found.count() == orders and {r.parity for r in found.select("parity").distinct().collect()} == {"both", "odd", "even"}
+
+
+def test_top_unmatched_of_each_area(spark):
+    rows = [("big", f"s{k:02}", "no-street") for k in range(20) for _ in range(k + 2)] + [("small", "only", "no-number"), ("small", "fine", "ok")]
+    found = matching.top_unmatched(spark.createDataFrame(rows, "mcnorm string, street string, status string")).collect()
+    assert {tuple(r) for r in found} == {("big", f"s{k:02}", k + 2) for k in range(8, 20)} | {("small", "only", 1)}
