@@ -1,5 +1,6 @@
 """Queries and operators over whole inputs, where a part would give other results."""
 
+import itertools
 import random
 import re
 import unicodedata
@@ -66,3 +67,30 @@ def test_top_unmatched_of_each_area(spark):
     rows = [("big", f"s{k:02}", "no-street") for k in range(20) for _ in range(k + 2)] + [("small", "only", "no-number"), ("small", "fine", "ok")]
     found = matching.top_unmatched(spark.createDataFrame(rows, "mcnorm string, street string, status string")).collect()
     assert {tuple(r) for r in found} == {("big", f"s{k:02}", k + 2) for k in range(8, 20)} | {("small", "only", 1)}
+
+
+def test_centroid_query_is_the_best_of_all_partitions(spark, tmp_path):
+    rnd = random.Random(11)
+    ids = rnd.sample(range(1, 4000), 90)
+    events = [(k, f"u{n % 9}", rnd.choice(["click", "view", "signup"])) for n, k in enumerate(ids)]
+    spark.createDataFrame(events, "event_id long, user_id string, event_type string").write.parquet(f"{tmp_path}/events.parquet")
+    got = {}
+    for r in registry.queries()["centroid_dp"](spark, str(tmp_path)).collect():
+        got.setdefault(r.doc, []).append((r.y, r.num))
+    numbered = 0
+    for doc, found in got.items():
+        cells = sorted(k * 7 % 4001 for k, d, t in events if d == doc and t != "signup")
+        marks = sorted((k * 7 % 4001 + 0.5, k % 97) for k, d, t in events if d == doc and t == "signup")
+        assert [y for y, _ in sorted(found, key=lambda x: x[0])] == cells
+        nums = tuple(n for _, n in sorted(found, key=lambda x: x[0]))
+        if not marks or len(cells) < len(marks):
+            assert set(nums) == {None}
+            continue
+        costs = {}
+        for cut in itertools.combinations(range(1, len(cells)), len(marks) - 1):
+            blocks = [cells[a:b] for a, b in itertools.pairwise([0, *cut, len(cells)])]
+            shown = tuple(n for (_, n), b in zip(marks, blocks, strict=True) for _ in b)  # markers may share a number
+            costs[shown] = min(costs.get(shown, float("inf")), sum(abs(sum(b) / len(b) - y) for (y, _), b in zip(marks, blocks, strict=True)))
+        assert costs[nums] <= min(costs.values()) + 1e-9
+        numbered += 1
+    assert numbered >= 3
