@@ -1,4 +1,4 @@
-"""Removal of long repeated passages by per-shard suffix arrays.
+"""Removal of long repeated passages by hashed anchors and per-shard suffix arrays.
 
 Every byte under a WINDOW-byte string that also starts anywhere else, in the same
 document or another, goes. Sorting all suffixes of a corpus isn't needed for that:
@@ -8,8 +8,9 @@ document or another, goes. Sorting all suffixes of a corpus isn't needed for tha
    document falls into segments, runs of windows with one anchor place, and
    windows need comparing between an anchor's segments only. Segments are
    exchanged as hashes, not as text.
-2. A segment that occurs twice is covered whole, wherever it occurs. An anchor
-   with one distinct segment is done with that.
+2. A segment whose 64-bit hash occurs twice is covered whole, wherever it occurs,
+   without a suffix array or a comparison of bytes. An anchor with one distinct
+   segment is done with that.
 3. One copy of each distinct segment of the other anchors is cut from the texts
    and dealt by anchor into shards. A shard's segments are laid end to end and
    their suffixes sorted to WINDOW bytes by Larsson-Sadakane refinement: ranks by
@@ -17,10 +18,10 @@ document or another, goes. Sorting all suffixes of a corpus isn't needed for tha
    again. Neighbours that stay tied share WINDOW bytes; their common prefixes are
    confirmed on the bytes in text order, by Kasai's argument one new byte for
    every place whose predecessor follows the last one's.
-4. An anchor with over SHARD_SEGMENTS distinct segments is spread over shards:
-   each of its windows becomes a digest in a sorted run, runs are merged across
-   shards, and digests met twice are found by binary search in each segment's own
-   order. It is linear in the windows and no task holds the anchor.
+4. An anchor with over SHARD_SEGMENTS distinct segments is not sorted: each of its
+   windows becomes two 64-bit hashes, and those that occur twice are found by a
+   grouping and a semi join. It is linear in the windows and no task holds the
+   anchor. Shards are never merged and nothing is searched across them.
 5. The covered stretches of each document are merged, cut out, and what remains
    is hashed.
 
