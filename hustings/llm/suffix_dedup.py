@@ -1,36 +1,43 @@
-"""Removal of long repeated passages by hashed anchors and per-shard suffix arrays.
+"""Removal of long repeated passages by suffix arrays over shards.
 
 Every byte under a WINDOW-byte string that also starts anywhere else, in the same
-document or another, goes. Sorting all suffixes of a corpus isn't needed for that:
-
-1. Each window's anchor is the GRAM-byte string in it with the smallest hash, the
-   leftmost of equal ones. Equal windows have equal anchors at equal places, so a
-   document falls into segments, runs of windows with one anchor place, and
-   windows need comparing between an anchor's segments only. Segments are
-   exchanged as hashes, not as text.
-2. A segment whose 64-bit hash occurs twice is covered whole, wherever it occurs,
-   without a suffix array or a comparison of bytes. An anchor with one distinct
-   segment is done with that.
-3. One copy of each distinct segment of the other anchors is cut from the texts
-   and dealt by anchor into shards. A shard's segments are laid end to end and
-   their suffixes sorted to WINDOW bytes by Larsson-Sadakane refinement: ranks by
-   8 bytes, then doubling, where only groups that are still tied are sorted
-   again. Neighbours that stay tied share WINDOW bytes; their common prefixes are
-   confirmed on the bytes in text order, by Kasai's argument one new byte for
-   every place whose predecessor follows the last one's.
-4. An anchor with over SHARD_SEGMENTS distinct segments is not sorted: each of its
-   windows becomes two 64-bit hashes, and those that occur twice are found by a
-   grouping and a semi join. It is linear in the windows and no task holds the
-   anchor. Shards are never merged and nothing is searched across them.
-5. The covered stretches of each document are merged, cut out, and what remains
-   is hashed.
-
-Documents are keyed by identifier and text hash through the joins, and each text
-is exchanged twice, for the cutting of steps 3 and 5.
+document or another, goes. Windows are brought together by content, and suffix
+arrays decide which of them are equal:
+
+1. Routing. Each window's anchor is the GRAM-byte string in it with the smallest
+   hash, the leftmost of equal ones. Equal windows have equal anchors at equal
+   places, so a document falls into segments, runs of windows with one anchor
+   place, and only segments of one anchor can hold equal windows. Segments are
+   exchanged as an anchor and a digest (128-bit BLAKE2b), not as text; an anchor
+   that occurs once ends here.
+2. Shards. For each anchor and digest one piece of text is cut, or two copies
+   from two places if the digest occurs twice or more. Pieces are dealt by anchor into
+   shards of about SHARD_BYTES; an anchor with more is dealt over several shards
+   by digest.
+3. Suffix array of a shard: Larsson-Sadakane refinement. Suffixes are ranked by
+   their first bytes, then ranks of twice the depth come from pairs of ranks, and
+   only groups that are still tied are sorted again. Depth ends at WINDOW, and a
+   depth ranks only the places that deeper ones ask for.
+4. Common prefixes: Kasai's argument in text order. A place whose predecessor in
+   the array follows the last place's predecessor has its prefix less one byte;
+   all others are compared byte by byte. A window whose common prefix with its
+   predecessor reaches WINDOW is repeated, and so is the predecessor.
+5. Shards that share an anchor are merged by binary search. Each gives its distinct
+   windows of such anchors as a run sorted by key (128-bit BLAKE2b of the window);
+   runs meet by key range, two at a time, each key of one searched in the other.
+   It is linear in the windows, whatever an anchor's number of pieces.
+6. What holds for a piece holds for all places of its anchor and digest. Each
+   document's covered stretches are merged, cut out, and the rest is hashed.
+
+Texts are exchanged twice, for the cutting of steps 2 and 6. Tables between the
+steps lie in the shared folder and are deleted once later ones hold what they
+gave; the one of stretches stays for the result to read.
 
 Defined cases: a null text is empty; texts shorter than WINDOW bytes keep all;
-repeated rows and copies of WINDOW bytes or more are removed whole; null
-identifiers are documents like any other; matches never cross documents.
+repeated rows and copies of WINDOW bytes or more are removed whole; identifiers
+of any type, null included, are documents like any other; matches never cross
+documents; a text of any length is hashed CHUNK_BYTES at a time, but is held
+whole by the tasks that cut it, with about ten times its bytes there.
 """
 
 from __future__ import annotations
@@ -44,12 +51,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hustings.llm import _text
-from hustings.llm._spark import map_arrow, stage_table
+from hustings.llm._spark import drop_table, map_arrow, stage_table
 from hustings.llm._text import U64
 
 WINDOW, GRAM = 400, 128
-#: Bytes whose suffixes are sorted together; distinct segments of one anchor in one task.
-SHARD_BYTES, SHARD_SEGMENTS = 1 << 20, 2048
+#: Bytes whose suffixes are sorted together, about; pieces of one anchor go over several shards beyond half of it.
+SHARD_BYTES = 1 << 19
+#: Bytes of a text whose windows are hashed at once; rows of runs merged at once.
+CHUNK_BYTES, MERGE_ROWS = 1 << 20, 1 << 18
 _PLACE = U64((1 << 26) - 1)
 
 
@@ -62,79 +71,136 @@ def window_minimum(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[: n - width + 1], ahead[width - 1 : n])
 
 
-def segments(data: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
-    """(anchor, segment hash, start, windows) of each run of windows with one anchor place."""
-    n = len(data)
-    if n < window:
-        return None
+def _cut(data: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     sums, down = _text.prefix_sums(data)
-    grams = _text.mix((sums[gram:] - sums[: n - gram + 1]) * down[: n - gram + 1])
+    grams = _text.mix((sums[gram:] - sums[: len(data) - gram + 1]) * down[: len(data) - gram + 1])
     places = np.arange(len(grams), dtype=U64) & _PLACE
     place = window_minimum(grams & ~_PLACE | places, window - gram + 1) & _PLACE
     start = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
     count = np.diff(np.append(start, len(place)))
-    end = start + count + window - 1
-    # places count modulo 2**26; the anchor of window i is less than window places on
+    # the anchor of window i is less than window places on
     at = start + ((place[start].astype(np.int64) - start) & int(_PLACE))
-    return grams[at], _text.mix((sums[end] - sums[start]) * down[start] + count.astype(U64)), start, count
+    return grams[at], start, count
 
 
-def sort_suffixes(data: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """(suffix array to depth bytes, rank of each place): places with the same depth bytes have the same rank."""
+def segments(data: np.ndarray, window: int, gram: int, chunk: int = CHUNK_BYTES) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+    """(anchor, start, windows) of each run of windows with one anchor place."""
+    if len(data) < window:
+        return None
+    out, begin = [], 0
+    while True:
+        some = data[begin : begin + chunk + window]
+        anchor, start, count = _cut(some, window, gram)
+        last = begin + len(some) == len(data)
+        if not last and len(start) > 1:  # the last run may go on behind the chunk, and begins the next one
+            anchor, start, count = anchor[:-1], start[:-1], count[:-1]
+        out.append((anchor, start + begin, count))
+        if last:
+            return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+        begin += int(start[-1] + count[-1])
+
+
+def sort_suffixes(data: np.ndarray, wanted: np.ndarray, depth: int) -> np.ndarray:
+    """The marked places in the order of their first depth bytes, equal ones by place; depth bytes follow each."""
     n = len(data)
-    padded = np.concatenate([data, np.zeros(8, np.uint8)])
-    key = np.zeros(n, U64)
-    for k in range(8):
-        key = key << U64(8) | padded[k : k + n]
-    order = np.argsort(key)
-    head = np.concatenate([[True], np.diff(key[order]) != 0])
-    rank = np.zeros(n + depth, np.int64)  # places past the end come first
-    rank[order] = np.maximum.accumulate(np.where(head, np.arange(n), 0)) + 1
-    known = min(8, depth)
+    bits = U64(n.bit_length())
+    if 3 * int(bits) > 64:
+        raise ValueError("a shard has up to 2**21 bytes")
+    low = U64((1 << int(bits)) - 1)
+    steps, known = [], min(5, depth)
     while known < depth:
-        step = min(known, depth - known)
-        tied = ~head | np.append(~head[1:], False)
-        at = np.flatnonzero(tied)
-        if not len(at):
+        steps.append(min(known, depth - known))
+        known += steps[-1]
+    asked = [wanted]  # places whose ranks a depth needs, from the deepest
+    for step in steps[::-1]:
+        more = asked[-1].copy()
+        more[step:] |= asked[-1][:-step]
+        asked.append(more)
+    asked.reverse()
+    places = np.flatnonzero(asked[0]).astype(U64)
+    padded = np.concatenate([data, np.zeros(8, np.uint8)]).astype(U64)
+    key = np.zeros(len(places), U64)
+    for k in range(min(5, depth)):
+        key = key << U64(8) | padded[k : k + n][places]
+    key = key << bits | places
+    key.sort()
+    rank = np.zeros(n, U64)
+
+    def ranked(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places, whether each begins a group) of sorted keys."""
+        head = np.ones(len(key), bool)
+        np.not_equal(key[1:] >> bits, key[:-1] >> bits, out=head[1:])
+        return (key & low).astype(np.int64), head
+
+    def begun(head: np.ndarray) -> np.ndarray:
+        return np.maximum.accumulate(np.where(head, np.arange(len(head), dtype=np.int64), 0))
+
+    places, head = ranked(key)
+    rank[places] = begun(head).astype(U64)
+    known = min(5, depth)
+    for step, need in zip(steps, asked[1:], strict=True):
+        tied = ~head
+        tied[:-1] |= ~head[1:]
+        tied &= need[places]
+        places = places[tied]
+        if not len(places):
             break
-        places = order[at]
-        both = rank[places] * (n + 1) + rank[places + step]
-        by = np.argsort(both)
-        places, both = places[by], both[by]
-        order[at] = places
-        head[at] = np.concatenate([[True], np.diff(both) != 0])
-        rank[places] = np.maximum.accumulate(np.where(head[at], at, 0)) + 1
+        first = rank[places]
+        key = (first << bits | rank[places + step]) << bits | places.astype(U64)
+        key.sort()
+        places, head = ranked(key)
+        first = key >> (bits + bits)
+        group = np.ones(len(key), bool)
+        np.not_equal(first[1:], first[:-1], out=group[1:])
+        rank[places] = first + (begun(head) - begun(group)).astype(U64)
         known += step
-    return order, rank[:n]
-
-
-def repeated_windows(pieces: list[bytes], window: int) -> list[np.ndarray]:
-    """For each piece, whether the window at each of its places also starts anywhere else in the pieces."""
-    counts = [len(p) - window + 1 for p in pieces]
+    places = np.flatnonzero(wanted).astype(U64)
+    key = rank[places.astype(np.int64)] << bits | places
+    key.sort()
+    return (key & low).astype(np.int64)
+
+
+def common_prefixes(data: np.ndarray, place: np.ndarray, before: np.ndarray, most: int) -> np.ndarray:
+    """Length of the common prefix of the suffixes at place, ascending, and before; lengths over most may be cut to it."""
+    padded = np.concatenate([data, np.zeros(most + 8, np.uint8)])
+    words = np.lib.stride_tricks.as_strided(padded, (len(padded) - 7, 8), (1, 1))
+    follows = np.zeros(len(place), bool)
+    follows[1:] = (np.diff(place) == 1) & (np.diff(before) == 1)
+    start = np.flatnonzero(~follows)
+    a, b = place[start], before[start]
+    length = np.zeros(len(start), np.int64)
+    left = np.arange(len(start))
+    while len(left):
+        at = length[left]
+        same = words[a[left] + at] == words[b[left] + at]
+        run = np.where(same.all(1), 8, same.argmin(1))
+        length[left] += run
+        left = left[(run == 8) & (length[left] < most)]
+    run = np.cumsum(~follows) - 1
+    return length[run] - (place - place[start][run])
+
+
+def repeated_windows(pieces: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(data, order, head, again): the pieces end to end, their windows' places in suffix order, whether each differs
+    from the one before, and for each byte of data whether a window starts there that starts anywhere else too."""
     data = np.frombuffer(b"\xff".join(pieces) + b"\xff", np.uint8)  # 0xff is in no UTF-8 text
-    order, rank = sort_suffixes(data, window)
-    starts = np.cumsum([0, *(len(p) + 1 for p in pieces[:-1])])
-    whole = np.zeros(len(data), bool)  # places of whole windows
-    for s, c in zip(starts, counts, strict=True):
-        whole[s : s + c] = True
-    order = order[whole[order]]
-    tied = np.flatnonzero(rank[order[1:]] == rank[order[:-1]]) + 1
-    place, before = order[tied], order[tied - 1]
-    by = np.argsort(place)
-    place, before = place[by], before[by]
-    # common prefixes in text order: a place whose predecessor moved on by one needs one new byte
-    follows = np.concatenate([[False], (np.diff(place) == 1) & (np.diff(before) == 1)])
-    same = data[place + window - 1] == data[before + window - 1]
-    fresh = np.flatnonzero(~follows)
-    for a in range(0, len(fresh), 4096):
-        some = fresh[a : a + 4096]
-        reach = np.arange(window)
-        same[some] = (data[place[some][:, None] + reach] == data[before[some][:, None] + reach]).all(1)
-    if not same.all():
-        raise AssertionError("tied suffixes differ")
+    ends = np.cumsum([len(p) + 1 for p in pieces])
+    wanted = np.zeros(len(data) + 1, np.int8)
+    wanted[np.concatenate([[0], ends[:-1]])] += 1
+    wanted[ends - window] -= 1
+    order = sort_suffixes(data, np.cumsum(wanted[:-1]) > 0, window)
+    # predecessors in text order
+    before = np.full(len(data), -1)
+    before[order[1:]] = order[:-1]
+    place = np.sort(order)
+    place = place[before[place] >= 0]
+    length = np.zeros(len(data), np.int64)
+    length[place] = common_prefixes(data, place, before[place], max(map(len, pieces)))
+    tied = length[order] >= window
     again = np.zeros(len(data), bool)
-    again[place] = again[before] = True
-    return [again[s : s + c] for s, c in zip(starts, counts, strict=True)]
+    again[order[tied]] = True
+    again[before[order[tied]]] = True
+    return data, order, ~tied, again
 
 
 def stretches(again: np.ndarray, window: int) -> list[tuple[int, int]]:
@@ -146,99 +212,152 @@ def stretches(again: np.ndarray, window: int) -> list[tuple[int, int]]:
     return [*zip(at[np.append(0, cut + 1)].tolist(), (at[np.append(cut, len(at) - 1)] + window).tolist(), strict=True)]
 
 
+def _digest(data: memoryview) -> bytes:
+    return hashlib.blake2b(data, digest_size=16).digest()
+
+
 _KEYS = ["k1", "k2"]
-_SPANS = "k1 long, k2 long, begin int, end int"
+_PIECE = ["anchor", "f1", "f2"]
+_SEGMENTS = "anchor long, f1 long, f2 long, k1 long, k2 long, start int, count int"
+#: A covered stretch of a piece (key is null), or a window of a shard's run.
+_FOUND = "anchor long, f1 long, f2 long, begin int, end int, shard int, key binary, alone boolean"
 
 
 def _doc_keys(id_col: str) -> list[Column]:
-    return [F.xxhash64("text").alias("k1"), F.coalesce(F.col(id_col), F.xxhash64(F.lit("null"), "text")).cast("long").alias("k2")]
+    return [F.xxhash64("text").alias("k1"), F.xxhash64(id_col, F.col(id_col).isNull()).alias("k2")]
 
 
 def _find_segments(window: int, gram: int):
     def over(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             offsets, data = _text.text_buffers(batch.column(2))
-            owner, found = [], []
+            owner, found, digests = [], [], []
             for i, (a, b) in enumerate(zip(offsets[:-1], offsets[1:], strict=True)):
                 cut = segments(data[a:b], window, gram)
                 if cut:
                     found.append(cut)
                     owner.append(np.full(len(cut[0]), i))
+                    view = memoryview(data[a:b])
+                    digests += [_digest(view[s:e]) for s, e in zip(cut[1].tolist(), (cut[1] + cut[2] + window - 1).tolist(), strict=True)]
             if found:
                 rows = pa.array(np.concatenate(owner))
-                anchor, segment, start, count = (np.concatenate(x) for x in zip(*found, strict=True))
-                columns = [pa.array(anchor.view(np.int64)), pa.array(segment.view(np.int64)), batch.column(0).take(rows), batch.column(1).take(rows), pa.array(start.astype(np.int32)), pa.array(count.astype(np.int32))]
-                yield pa.RecordBatch.from_arrays(columns, ["anchor", "segment", "k1", "k2", "start", "count"])
+                anchor, start, count = (np.concatenate(x) for x in zip(*found, strict=True))
+                fingerprint = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+                longs = (anchor.view(np.int64), *np.ascontiguousarray(fingerprint.T))
+                columns = [*map(pa.array, longs), batch.column(0).take(rows), batch.column(1).take(rows), pa.array(start.astype(np.int32)), pa.array(count.astype(np.int32))]
+                yield pa.RecordBatch.from_arrays(columns, [*_PIECE, *_KEYS, "start", "count"])
 
     return over
 
 
 def _cut_pieces(window: int):
     def over(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = [t.encode() for t in batch.column(3).to_pylist()]
-        wanted = batch.column(2)
-        owner = np.repeat(np.arange(len(texts)), np.diff(wanted.offsets.to_numpy()))
-        fields = wanted.flatten().flatten()  # anchor, start, count, alone
-        pieces = [texts[i][s : s + c + window - 1] for i, s, c in zip(owner.tolist(), fields[1].to_pylist(), fields[2].to_pylist(), strict=True)]
-        rows = pa.array(owner)
-        columns = [fields[0], batch.column(0).take(rows), batch.column(1).take(rows), fields[1], fields[3], pa.array(pieces, pa.binary())]
-        return pa.RecordBatch.from_arrays(columns, ["anchor", "k1", "k2", "start", "alone", "piece"])
+        wanted = batch.column(0)
+        owner = np.repeat(np.arange(batch.num_rows), np.diff(wanted.offsets.to_numpy()))
+        fields = wanted.flatten().flatten()  # anchor, f1, f2, shards, start, count
+        offsets, data = _text.text_buffers(batch.column(1))
+        view = memoryview(data)
+        start = offsets[owner] + fields[4].to_numpy()
+        end = start + fields[5].to_numpy() + (window - 1)
+        pieces = [bytes(view[s:e]) for s, e in zip(start.tolist(), end.tolist(), strict=True)]
+        return pa.RecordBatch.from_arrays([*fields[:4], pa.array(pieces, pa.binary())], [*_PIECE, "shards", "piece"])
 
     return over
 
 
-def _spans_of(rows: list[tuple[int, int, int, bool, bytes]], marks: list[np.ndarray], window: int) -> pa.RecordBatch | None:
-    out = [(k1, k2, s + a, s + b) for (k1, k2, s, alone, _), again in zip(rows, marks, strict=True) if alone for a, b in stretches(again, window)]
-    return pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True)], [*_KEYS, "begin", "end"]) if out else None
-
-
 def _sort_shards(window: int):
-    """Pieces sorted by anchor to covered stretches; whole anchors share a suffix array up to SHARD_BYTES."""
+    """Pieces sorted by anchor and shard to covered stretches, and to the runs of anchors that other shards have too."""
+
+    def decided(held: list[tuple]) -> pa.RecordBatch | None:
+        pieces = [r[5] for r in held]
+        data, order, head, again = repeated_windows(pieces, window)
+        starts = np.cumsum([0, *(len(p) + 1 for p in pieces)])
+        # no stretch reaches over two pieces, whose windows are more than window places apart
+        spans = np.array(stretches(again, window), np.int64).reshape(-1, 2)
+        owner = np.searchsorted(starts, spans[:, 0], "right") - 1
+        out = [(*held[k][:3], s, e, None, None, None) for k, (s, e) in zip(owner.tolist(), (spans - starts[owner][:, None]).tolist(), strict=True)]
+        wide = np.array([r[3] > 1 for r in held])
+        if wide.any():
+            view = memoryview(data)
+            reps = order[head]
+            owner = np.searchsorted(starts, reps, "right") - 1
+            mine = wide[owner]
+            for p, k in zip(reps[mine].tolist(), owner[mine].tolist(), strict=True):
+                anchor, f1, f2, _, shard, _ = held[k]
+                begin = p - int(starts[k])
+                out.append((anchor, f1, f2, begin, begin + window, shard, _digest(view[p : p + window]), not again[p]))
+        if not out:
+            return None
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.bool_())
+        return pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*out, strict=True), kinds, strict=True)], [*_PIECE, "begin", "end", "shard", "key", "alone"])
 
     def over(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         held_bytes, last = 0, None
-
-        def flush() -> pa.RecordBatch | None:
-            return _spans_of(held, repeated_windows([r[4] for r in held], window), window) if held else None
-
         for batch in batches:
-            for anchor, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if anchor != last:
-                    if held_bytes >= SHARD_BYTES:
-                        out = flush()
-                        held, held_bytes = [], 0
-                        if out is not None:
-                            yield out
-                    last = anchor
-                held.append(tuple(row))
-                held_bytes += len(row[4])
-        out = flush()
-        if out is not None:
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                here = row[0], row[4]  # anchor and shard
+                if here != last and held_bytes >= SHARD_BYTES // 2:
+                    if (out := decided(held)) is not None:
+                        yield out
+                    held, held_bytes = [], 0
+                last = here
+                held.append(row)
+                held_bytes += len(row[5])
+        if held and (out := decided(held)) is not None:
             yield out
 
     return over
 
 
-def _window_digests(piece: bytes, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Two 64-bit hashes of each window."""
-    data = np.frombuffer(piece, np.uint8)
-    n = len(data) - window + 1
-    sums, down = _text.prefix_sums(data)
-    first = _text.mix((sums[window:] - sums[:n]) * down[:n])
-    sums, down = _text.prefix_sums(data[::-1])
-    second = _text.mix((sums[window:] - sums[:n]) * down[:n])[::-1]
-    return first.view(np.int64), second.view(np.int64)
-
+def merge_runs(runs: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Rows that stand in two runs or more; runs: (ascending distinct keys, rows). Two at a time, by binary search."""
+    twice = []
+    while len(runs) > 1:
+        merged = []
+        for (a, x), (b, y) in zip(runs[::2], runs[1::2], strict=False):
+            at = np.searchsorted(a, b)
+            hit = np.zeros(len(b), bool)
+            inside = at < len(a)
+            hit[inside] = a[at[inside]] == b[inside]
+            twice += [x[at[hit]], y[hit]]
+            merged.append((np.insert(a, at[~hit], b[~hit]), np.insert(x, at[~hit], y[~hit])))
+        runs = merged + runs[len(merged) * 2 :]
+    return np.unique(np.concatenate(twice)) if twice else np.zeros(0, np.int64)
+
+
+def _merge_shards():
+    """Rows sorted by key range, shard and key to the windows that two shards have and that are alone in theirs."""
+
+    def decided(table: pa.Table) -> pa.RecordBatch | None:
+        table = table.combine_chunks()
+        shard = table["shard"].to_numpy()
+        key = np.array(table["key"].to_pylist(), "S16")
+        order = np.argsort(shard, kind="stable")
+        cuts = np.flatnonzero(np.diff(shard[order])) + 1
+        found = merge_runs([(key[rows], rows) for rows in np.split(order, cuts)])
+        found = found[table["alone"].to_numpy(zero_copy_only=False)[found]]
+        if not len(found):
+            return None
+        some = table.select([*_PIECE, "begin", "end"]).take(pa.array(found)).combine_chunks()
+        return some.to_batches()[0]
 
-def _explode_digests(window: int):
-    def over(batch: pa.RecordBatch) -> pa.RecordBatch:
-        digests = [_window_digests(p, window) for p in batch.column(5).to_pylist()]
-        rows = pa.array(np.repeat(np.arange(len(digests)), [len(d[0]) for d in digests]))
-        places = np.concatenate([np.arange(len(d[0]), dtype=np.int32) for d in digests])
-        columns = [pa.array(np.concatenate([d[k] for d in digests])) for k in (0, 1)]
-        start = pa.compute.add(batch.column(3).take(rows), pa.array(places))
-        return pa.RecordBatch.from_arrays([*columns, *(batch.column(k).take(rows) for k in (1, 2)), start, batch.column(4).take(rows)], ["d1", "d2", *_KEYS, "begin", "alone"])
+    def over(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        rows = 0
+        for batch in batches:
+            ranges = batch.column("slice").to_pylist()
+            start = 0
+            for i, here in enumerate(ranges):
+                before = ranges[i - 1] if i else held[-1].column("slice")[-1].as_py() if held else here
+                if here != before and rows + i - start >= MERGE_ROWS:
+                    if (out := decided(pa.Table.from_batches([*held, batch.slice(start, i - start)]))) is not None:
+                        yield out
+                    held, rows, start = [], 0, i
+            held.append(batch.slice(start))
+            rows += batch.num_rows - start
+        if held and (out := decided(pa.Table.from_batches(held))) is not None:
+            yield out
 
     return over
 
@@ -272,39 +391,39 @@ def _remove(id_col: str, with_text: bool):
 
 def find_repeats(texts: DataFrame, window: int, gram: int) -> DataFrame:
     """k1, k2, begin, end: stretches of bytes to remove, which may overlap. texts: k1, k2, text."""
-    found = stage_table(texts.where(F.octet_length("text") >= window).mapInArrow(_find_segments(window, gram), "anchor long, segment long, k1 long, k2 long, start int, count int"))
+    found = stage_table(texts.where(F.octet_length("text") >= window).select(*_KEYS, "text").mapInArrow(_find_segments(window, gram), _SEGMENTS))
     # read from a table, a join with it can be split where an anchor is frequent
     shared = stage_table(found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"))
-    # where segments may meet: a fraction of all
-    meeting = stage_table(found.join(shared, "anchor", "left_semi"))
-    place = F.struct("k1", "k2", "start", "count")
-    distinct = stage_table(meeting.groupBy("anchor", "segment").agg(F.count("*").alias("n"), F.min(place).alias("at")))
-    copies = meeting.join(distinct.where("n > 1").select("anchor", "segment"), ["anchor", "segment"], "left_semi")
-    whole = copies.select("k1", "k2", F.col("start").alias("begin"), (F.col("start") + F.col("count") + (window - 1)).alias("end"))
-
-    several = stage_table(distinct.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1"))
-    wanted = distinct.join(several, "anchor").select(
-        "at.k1", "at.k2", F.struct("anchor", "at.start", "at.count", (F.col("n") == 1).alias("alone")).alias("piece"), (F.col("kinds") > SHARD_SEGMENTS).alias("hot")
-    )
-    per_text = wanted.groupBy("k1", "k2").agg(F.collect_list("piece").alias("pieces"))  # segments of one text
-    cut = map_arrow(per_text.join(texts, _KEYS).select("k1", "k2", "pieces", "text"), _cut_pieces(window), "anchor long, k1 long, k2 long, start int, alone boolean, piece binary")
-    hot = stage_table(several.where(F.col("kinds") > SHARD_SEGMENTS).select("anchor"))
-    pieces = cut.repartition("anchor").sortWithinPartitions("anchor")
-    if not hot.limit(1).count():
-        return whole.unionByName(pieces.mapInArrow(_sort_shards(window), _SPANS))
-    cut = stage_table(cut)
-    cool = cut.join(hot, "anchor", "left_anti").repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_sort_shards(window), _SPANS)
-    digests = stage_table(map_arrow(cut.join(hot, "anchor", "left_semi"), _explode_digests(window), "d1 long, d2 long, k1 long, k2 long, begin int, alone boolean"))
-    twice = digests.groupBy("d1", "d2").agg(F.count("*").alias("n")).where("n > 1").select("d1", "d2")
-    spread = digests.where("alone").join(twice, ["d1", "d2"], "left_semi").select("k1", "k2", "begin", (F.col("begin") + window).alias("end"))
-    return whole.unionByName(cool).unionByName(spread)
+    meeting = stage_table(found.join(shared, "anchor", "left_semi"))  # a fraction of all
+    drop_table(found)
+    drop_table(shared)
+
+    place = F.struct(*_KEYS, "start", "count")
+    distinct = stage_table(meeting.groupBy(*_PIECE).agg(F.count("*").alias("n"), F.min(place).alias("low"), F.max(place).alias("high")))
+    laid = F.sum((F.col("low.count") + (window - 1)) * F.least("n", F.lit(2)))
+    shards = distinct.groupBy("anchor").agg(F.ceil(laid / (SHARD_BYTES // 2)).cast("int").alias("shards"))
+    copies = F.explode(F.when(F.col("n") > 1, F.array("low", "high")).otherwise(F.array("low"))).alias("at")
+    wanted = distinct.join(shards, "anchor").select(*_PIECE, "shards", copies)
+    per_text = wanted.groupBy("at.k1", "at.k2").agg(F.collect_list(F.struct(*_PIECE, "shards", "at.start", "at.count")).alias("pieces"))  # segments of one text
+    pieces = map_arrow(per_text.join(texts, _KEYS).select("pieces", "text"), _cut_pieces(window), "anchor long, f1 long, f2 long, shards int, piece binary")
+    pieces = pieces.select(*_PIECE, "shards", F.pmod("f1", "shards").cast("int").alias("shard"), "piece")
+    sharded = pieces.repartition("anchor", "shard").sortWithinPartitions("anchor", "shard").mapInArrow(_sort_shards(window), _FOUND)
+    sharded = stage_table(sharded)
+
+    runs = sharded.where("key is not null").select(*_PIECE, "begin", "end", "shard", "key", "alone", F.substring("key", 1, 1).alias("slice"))
+    merged = runs.repartition("key").sortWithinPartitions("slice", "shard", "key").mapInArrow(_merge_shards(), "anchor long, f1 long, f2 long, begin int, end int")
+    covered = stage_table(sharded.where("key is null").select(*_PIECE, "begin", "end").unionByName(merged).distinct())
+    spans = stage_table(meeting.join(covered, _PIECE).select(*_KEYS, (F.col("start") + F.col("begin")).alias("begin"), (F.col("start") + F.col("end")).alias("end")))
+    for done in (meeting, distinct, sharded, covered):
+        drop_table(done)
+    return spans
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM, with_text: bool = True) -> DataFrame:
     """A row per document: identifier, n_bytes, n_removed, n_spans, kept_sha256 and kept (the remaining bytes; null if not with_text)."""
     texts = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).select("__id", "text", *_doc_keys("__id"))
-    spans = stage_table(find_repeats(texts.select("k1", "k2", "text"), window, gram))
-    per_text = spans.distinct().groupBy(*_KEYS).agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
+    spans = find_repeats(texts, window, gram)
+    per_text = spans.groupBy(*_KEYS).agg(F.collect_set(F.struct("begin", "end")).alias("spans"))  # a set: rows may repeat
     joined = texts.join(per_text, _KEYS, "left").select("__id", "text", "spans")
     kind = docs.schema[id_col].dataType.simpleString()
     return map_arrow(joined, _remove(id_col, with_text), f"`{id_col}` {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")

@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from conftest import DOCS
 
@@ -34,18 +35,43 @@ def test_documents(spark):
     assert result(spark.createDataFrame(rows, "doc_id long, text string"), with_text=False) == brute(rows, suffix_dedup.WINDOW)
 
 
-@pytest.mark.parametrize("segments", [2, 2048])
-def test_small_windows(spark, monkeypatch, segments):
-    """Dense repeats of short windows, periodic texts, and anchors spread over shards."""
-    monkeypatch.setattr(suffix_dedup, "SHARD_SEGMENTS", segments)
-    rnd = random.Random(segments)
+@pytest.mark.parametrize("shard, merge", [(200, 5), (600, 1 << 18), (1 << 19, 1 << 18)])
+def test_small_windows(spark, monkeypatch, shard, merge):
+    """Dense repeats of short windows, periodic texts, anchors in several shards, texts in several chunks."""
+    monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", shard)
+    monkeypatch.setattr(suffix_dedup, "MERGE_ROWS", merge)
+    rnd = random.Random(shard)
     passages = ["".join(rnd.choice("abé") for _ in range(rnd.randrange(5, 60))) for _ in range(12)]
     rows = [(i, "".join(rnd.choice(passages) if rnd.random() < 0.6 else "".join(rnd.choice("xyz ") for _ in range(rnd.randrange(30))) for _ in range(rnd.randrange(6)))) for i in range(80)]
-    rows += [(100, "a" * 200), (101, "ab" * 70), (102, "a" * 33), (103, rows[5][1]), (103, rows[5][1]), (None, rows[7][1]), (104, None), (105, "")]
+    rows += [(100 + i, "".join(rnd.choice("pqr") for _ in range(20)) + passages[0][:20] + "".join(rnd.choice("pqr") for _ in range(20))) for i in range(60)]
+    rows += [(200, "a" * 200), (201, "ab" * 70), (202, "a" * 33), (203, rows[5][1]), (203, rows[5][1]), (None, rows[7][1]), (204, None), (205, "")]
     frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert result(frame, window=24, gram=9) == brute(rows, 24)
 
 
+def test_string_identifiers(spark):
+    rows = [("a", "word " * 200), ("b", "word " * 150), (None, "some other text"), ("c", "x" * 500)]
+    assert result(spark.createDataFrame(rows, "doc_id string, text string")) == brute(rows, suffix_dedup.WINDOW)
+
+
+def test_long_text(spark):
+    """A text of 5 MB with one passage twice, cut in several chunks."""
+    rnd = np.random.default_rng(3)
+    text = bytearray(rnd.integers(97, 123, 5_000_000, dtype=np.uint8).tobytes())
+    text[4_000_000:4_000_900] = text[1_048_000:1_048_900]
+    rows = [(1, text.decode()), (2, "short")]
+    found = {r.doc_id: r for r in suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), with_text=False).collect()}
+    assert (found[1].n_bytes, found[1].n_removed, found[1].n_spans) == (5_000_000, 1800, 2) and found[2].n_removed == 0
+
+
+def test_chunks():
+    """Where a text is cut doesn't change its segments."""
+    data = np.frombuffer(random.Random(4).randbytes(9000), np.uint8)
+    whole = suffix_dedup.segments(data, 60, 20)
+    for chunk in (70, 500, 2000):
+        assert all((a == b).all() for a, b in zip(whole, suffix_dedup.segments(data, 60, 20, chunk), strict=True))
+
+
 def test_edges(docs, no_docs):
     assert result(docs) == brute([(i, t) for i, t, *_ in DOCS], suffix_dedup.WINDOW)
     assert suffix_dedup.remove_repeats(no_docs).count() == 0
@@ -54,14 +80,32 @@ def test_edges(docs, no_docs):
 
 
 def test_suffix_order():
+    """Order and common prefixes against sorted slices."""
     rnd = random.Random(2)
-    import numpy as np
-
-    for depth in (3, 8, 20):
-        data = bytes(rnd.choice(b"ab") for _ in range(300))
-        order, rank = suffix_dedup.sort_suffixes(np.frombuffer(data, np.uint8), depth)
-        keys = [data[i : i + depth] for i in range(300)]
-        deep = max(depth, 8)
-        assert [data[i : i + deep] for i in order] == sorted(data[i : i + deep] for i in range(300))
-        if depth >= 8:
-            assert all((keys[i] == keys[j]) == (rank[i] == rank[j]) for i in range(0, 300, 7) for j in range(300))
+    for depth, alphabet in ((3, b"ab"), (8, b"ab"), (20, b"ab"), (50, b"a"), (37, b"abcd")):
+        data = bytes(rnd.choice(alphabet) for _ in range(300)) * 2
+        wanted = np.zeros(600, bool)
+        wanted[[*range(0, 250), *range(300, 600 - depth + 1)]] = True
+        order = suffix_dedup.sort_suffixes(np.frombuffer(data, np.uint8), wanted, depth)
+        assert order.tolist() == sorted(np.flatnonzero(wanted).tolist(), key=lambda i: (data[i : i + depth], i))
+        before = np.full(600, -1)
+        before[order[1:]] = order[:-1]
+        place = np.sort(order)
+        place = place[before[place] >= 0]
+        got = suffix_dedup.common_prefixes(np.frombuffer(data, np.uint8), place, before[place], 700)
+        for p, n in zip(place.tolist(), got.tolist(), strict=True):
+            q = int(before[p])
+            true = next((k for k in range(600) if max(p, q) + k == 600 or data[p + k] != data[q + k]), 600)
+            assert n == true or max(p, q) + true == 600 and n >= true
+
+
+def test_merged_runs():
+    rnd = random.Random(6)
+    keys = [sorted({bytes(rnd.choices(b"abcd", k=3)) for _ in range(40)}) for _ in range(7)]
+    rows, runs, names = 0, [], []
+    for k in keys:
+        runs.append((np.array(k, "S16"), np.arange(rows, rows + len(k))))
+        names += k
+        rows += len(k)
+    count = Counter(names)
+    assert suffix_dedup.merge_runs(runs).tolist() == [i for i, k in enumerate(names) if count[k] > 1]
