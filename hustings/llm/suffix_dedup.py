@@ -23,9 +23,10 @@ arrays decide which of them are equal:
    all others are compared byte by byte. A window whose common prefix with its
    predecessor reaches WINDOW is repeated, and so is the predecessor.
 5. Shards that share an anchor are merged by binary search. Each gives its distinct
-   windows of such anchors as a run sorted by key (128-bit BLAKE2b of the window);
-   runs meet by key range, two at a time, each key of one searched in the other.
-   It is linear in the windows, whatever an anchor's number of pieces.
+   windows of such anchors as a run sorted by key (128-bit BLAKE2b of the window),
+   cut at the borders of key ranges, whose number follows from that of the shards.
+   In a range, runs meet two at a time, each key of one searched in the other. It
+   is linear in the windows, whatever an anchor's number of pieces.
 6. What holds for a piece holds for all places of its anchor and digest. Each
    document's covered stretches are merged, cut out, and the rest is hashed.
 
@@ -51,14 +52,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hustings.llm import _text
-from hustings.llm._spark import drop_table, map_arrow, stage_table
+from hustings.llm._spark import drop_table, grouped, map_arrow, stage_table
 from hustings.llm._text import U64
 
 WINDOW, GRAM = 400, 128
 #: Bytes whose suffixes are sorted together, about; pieces of one anchor go over several shards beyond half of it.
 SHARD_BYTES = 1 << 19
-#: Bytes of a text whose windows are hashed at once; rows of runs merged at once.
-CHUNK_BYTES, MERGE_ROWS = 1 << 20, 1 << 18
+#: Bytes of a text whose windows are hashed at once.
+CHUNK_BYTES = 1 << 20
 _PLACE = U64((1 << 26) - 1)
 
 
@@ -219,8 +220,11 @@ def _digest(data: memoryview) -> bytes:
 _KEYS = ["k1", "k2"]
 _PIECE = ["anchor", "f1", "f2"]
 _SEGMENTS = "anchor long, f1 long, f2 long, k1 long, k2 long, start int, count int"
-#: A covered stretch of a piece (key is null), or a window of a shard's run.
-_FOUND = "anchor long, f1 long, f2 long, begin int, end int, shard int, key binary, alone boolean"
+_STRETCH = "anchor long, f1 long, f2 long, begin int, end int"
+#: A covered stretch of a piece (run is null), or a key range of a shard's run.
+_FOUND = f"{_STRETCH}, range int, run binary"
+#: A window of a run: its key, its piece, its place there, and whether its shard has it once.
+_ENTRY = np.dtype([("key", "S16"), ("anchor", "<i8"), ("f1", "<i8"), ("f2", "<i8"), ("begin", "<i4"), ("alone", "?")])
 
 
 def _doc_keys(id_col: str) -> list[Column]:
@@ -265,31 +269,37 @@ def _cut_pieces(window: int):
     return over
 
 
-def _sort_shards(window: int):
+def _sort_shards(window: int, ranges: int):
     """Pieces sorted by anchor and shard to covered stretches, and to the runs of anchors that other shards have too."""
+    borders = np.array([(k * 2**32 // ranges).to_bytes(4, "big") for k in range(1, ranges)], "S16")
 
-    def decided(held: list[tuple]) -> pa.RecordBatch | None:
+    def decided(held: list[tuple]) -> Iterator[pa.RecordBatch]:
         pieces = [r[5] for r in held]
         data, order, head, again = repeated_windows(pieces, window)
         starts = np.cumsum([0, *(len(p) + 1 for p in pieces)])
+        names = np.array([r[:3] for r in held], np.int64)
         # no stretch reaches over two pieces, whose windows are more than window places apart
         spans = np.array(stretches(again, window), np.int64).reshape(-1, 2)
         owner = np.searchsorted(starts, spans[:, 0], "right") - 1
-        out = [(*held[k][:3], s, e, None, None, None) for k, (s, e) in zip(owner.tolist(), (spans - starts[owner][:, None]).tolist(), strict=True)]
+        places = (spans - starts[owner][:, None]).astype(np.int32)
+        none = pa.nulls(len(spans), pa.int32()), pa.nulls(len(spans), pa.binary())
+        columns = [*map(pa.array, np.ascontiguousarray(names[owner].T)), *map(pa.array, np.ascontiguousarray(places.T)), *none]
+        yield pa.RecordBatch.from_arrays(columns, [*_PIECE, "begin", "end", "range", "run"])
+
         wide = np.array([r[3] > 1 for r in held])
         if wide.any():
-            view = memoryview(data)
             reps = order[head]
             owner = np.searchsorted(starts, reps, "right") - 1
-            mine = wide[owner]
-            for p, k in zip(reps[mine].tolist(), owner[mine].tolist(), strict=True):
-                anchor, f1, f2, _, shard, _ = held[k]
-                begin = p - int(starts[k])
-                out.append((anchor, f1, f2, begin, begin + window, shard, _digest(view[p : p + window]), not again[p]))
-        if not out:
-            return None
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.bool_())
-        return pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*out, strict=True), kinds, strict=True)], [*_PIECE, "begin", "end", "shard", "key", "alone"])
+            reps, owner = reps[wide[owner]], owner[wide[owner]]
+            view = memoryview(data)
+            run = np.zeros(len(reps), _ENTRY)
+            run["key"] = [_digest(view[p : p + window]) for p in reps.tolist()]
+            run["anchor"], run["f1"], run["f2"] = names[owner].T
+            run["begin"], run["alone"] = reps - starts[owner], ~again[reps]
+            run = run[np.argsort(run["key"])]
+            parts = [(k, part.tobytes()) for k, part in enumerate(np.split(run, np.searchsorted(run["key"], borders))) if len(part)]
+            none = [pa.nulls(len(parts), kind) for kind in (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32())]
+            yield pa.RecordBatch.from_arrays([*none, pa.array([k for k, _ in parts], pa.int32()), pa.array([r for _, r in parts], pa.binary())], [*_PIECE, "begin", "end", "range", "run"])
 
     def over(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -298,14 +308,13 @@ def _sort_shards(window: int):
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 here = row[0], row[4]  # anchor and shard
                 if here != last and held_bytes >= SHARD_BYTES // 2:
-                    if (out := decided(held)) is not None:
-                        yield out
+                    yield from decided(held)
                     held, held_bytes = [], 0
                 last = here
                 held.append(row)
                 held_bytes += len(row[5])
-        if held and (out := decided(held)) is not None:
-            yield out
+        if held:
+            yield from decided(held)
 
     return over
 
@@ -326,38 +335,18 @@ def merge_runs(runs: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
     return np.unique(np.concatenate(twice)) if twice else np.zeros(0, np.int64)
 
 
-def _merge_shards():
-    """Rows sorted by key range, shard and key to the windows that two shards have and that are alone in theirs."""
-
-    def decided(table: pa.Table) -> pa.RecordBatch | None:
-        table = table.combine_chunks()
-        shard = table["shard"].to_numpy()
-        key = np.array(table["key"].to_pylist(), "S16")
-        order = np.argsort(shard, kind="stable")
-        cuts = np.flatnonzero(np.diff(shard[order])) + 1
-        found = merge_runs([(key[rows], rows) for rows in np.split(order, cuts)])
-        found = found[table["alone"].to_numpy(zero_copy_only=False)[found]]
-        if not len(found):
-            return None
-        some = table.select([*_PIECE, "begin", "end"]).take(pa.array(found)).combine_chunks()
-        return some.to_batches()[0]
+def _merge_shards(window: int):
+    """Runs sorted by key range to the windows that two shards have and that are alone in theirs."""
 
     def over(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        rows = 0
-        for batch in batches:
-            ranges = batch.column("slice").to_pylist()
-            start = 0
-            for i, here in enumerate(ranges):
-                before = ranges[i - 1] if i else held[-1].column("slice")[-1].as_py() if held else here
-                if here != before and rows + i - start >= MERGE_ROWS:
-                    if (out := decided(pa.Table.from_batches([*held, batch.slice(start, i - start)]))) is not None:
-                        yield out
-                    held, rows, start = [], 0, i
-            held.append(batch.slice(start))
-            rows += batch.num_rows - start
-        if held and (out := decided(pa.Table.from_batches(held))) is not None:
-            yield out
+        for _, table in grouped(batches, ["range"]):
+            runs = [np.frombuffer(r, _ENTRY) for r in table["run"].to_pylist()]
+            rows = np.concatenate(runs)
+            ends = np.cumsum([0, *map(len, runs)])
+            found = rows[merge_runs([(r["key"], np.arange(a, b)) for r, a, b in zip(runs, ends[:-1], ends[1:], strict=True)])]
+            found = found[found["alone"]]
+            columns = [np.ascontiguousarray(found[c]) for c in (*_PIECE, "begin")]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(columns[3] + np.int32(window))], [*_PIECE, "begin", "end"])
 
     return over
 
@@ -401,20 +390,20 @@ def find_repeats(texts: DataFrame, window: int, gram: int) -> DataFrame:
     place = F.struct(*_KEYS, "start", "count")
     distinct = stage_table(meeting.groupBy(*_PIECE).agg(F.count("*").alias("n"), F.min(place).alias("low"), F.max(place).alias("high")))
     laid = F.sum((F.col("low.count") + (window - 1)) * F.least("n", F.lit(2)))
-    shards = distinct.groupBy("anchor").agg(F.ceil(laid / (SHARD_BYTES // 2)).cast("int").alias("shards"))
+    wide = stage_table(distinct.groupBy("anchor").agg(F.ceil(laid / (SHARD_BYTES // 2)).cast("int").alias("shards")).where("shards > 1"))
+    ranges = 4 * (wide.agg(F.sum("shards")).first()[0] or 0) + 1
     copies = F.explode(F.when(F.col("n") > 1, F.array("low", "high")).otherwise(F.array("low"))).alias("at")
-    wanted = distinct.join(shards, "anchor").select(*_PIECE, "shards", copies)
+    wanted = distinct.join(wide, "anchor", "left").select(*_PIECE, F.coalesce("shards", F.lit(1)).alias("shards"), copies)
     per_text = wanted.groupBy("at.k1", "at.k2").agg(F.collect_list(F.struct(*_PIECE, "shards", "at.start", "at.count")).alias("pieces"))  # segments of one text
     pieces = map_arrow(per_text.join(texts, _KEYS).select("pieces", "text"), _cut_pieces(window), "anchor long, f1 long, f2 long, shards int, piece binary")
     pieces = pieces.select(*_PIECE, "shards", F.pmod("f1", "shards").cast("int").alias("shard"), "piece")
-    sharded = pieces.repartition("anchor", "shard").sortWithinPartitions("anchor", "shard").mapInArrow(_sort_shards(window), _FOUND)
-    sharded = stage_table(sharded)
+    sharded = stage_table(pieces.repartition("anchor", "shard").sortWithinPartitions("anchor", "shard").mapInArrow(_sort_shards(window, ranges), _FOUND))
 
-    runs = sharded.where("key is not null").select(*_PIECE, "begin", "end", "shard", "key", "alone", F.substring("key", 1, 1).alias("slice"))
-    merged = runs.repartition("key").sortWithinPartitions("slice", "shard", "key").mapInArrow(_merge_shards(), "anchor long, f1 long, f2 long, begin int, end int")
-    covered = stage_table(sharded.where("key is null").select(*_PIECE, "begin", "end").unionByName(merged).distinct())
+    runs = sharded.where("run is not null").select("range", "run").repartition("range").sortWithinPartitions("range")
+    merged = runs.mapInArrow(_merge_shards(window), _STRETCH)
+    covered = stage_table(sharded.where("run is null").select(*_PIECE, "begin", "end").unionByName(merged).distinct())
     spans = stage_table(meeting.join(covered, _PIECE).select(*_KEYS, (F.col("start") + F.col("begin")).alias("begin"), (F.col("start") + F.col("end")).alias("end")))
-    for done in (meeting, distinct, sharded, covered):
+    for done in (meeting, distinct, wide, sharded, covered):
         drop_table(done)
     return spans
 

@@ -35,11 +35,10 @@ def test_documents(spark):
     assert result(spark.createDataFrame(rows, "doc_id long, text string"), with_text=False) == brute(rows, suffix_dedup.WINDOW)
 
 
-@pytest.mark.parametrize("shard, merge", [(200, 5), (600, 1 << 18), (1 << 19, 1 << 18)])
-def test_small_windows(spark, monkeypatch, shard, merge):
+@pytest.mark.parametrize("shard", [200, 600, 1 << 19])
+def test_small_windows(spark, monkeypatch, shard):
     """Dense repeats of short windows, periodic texts, anchors in several shards, texts in several chunks."""
     monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", shard)
-    monkeypatch.setattr(suffix_dedup, "MERGE_ROWS", merge)
     rnd = random.Random(shard)
     passages = ["".join(rnd.choice("abé") for _ in range(rnd.randrange(5, 60))) for _ in range(12)]
     rows = [(i, "".join(rnd.choice(passages) if rnd.random() < 0.6 else "".join(rnd.choice("xyz ") for _ in range(rnd.randrange(30))) for _ in range(rnd.randrange(6)))) for i in range(80)]
