@@ -46,6 +46,67 @@ def test_field_on_held_out_sentences():
     assert right / found > 0.85 and right / wanted > 0.85, (right, found, wanted)
 
 
+#: (text, kind, the entity), none of them made by the generator that trains the field; no entity: a look-alike.
+VARIANTS = [
+    ("write to john at site dot com please", "email", "john at site dot com"), ("contact: mary.smith [at] uni [dot] edu", "email", "mary.smith [at] uni [dot] edu"),
+    ("info(at)firm(dot)de", "email", "info(at)firm(dot)de"), ("ask anna at uni-bonn dot de", "email", "anna at uni-bonn dot de"), ("to bob @ mail.example.com today", "email", "bob @ mail.example.com"),
+    ("call (415) 555-0133 today", "phone", "(415) 555-0133"), ("ring 415.555.0133", "phone", "415.555.0133"), ("tel. 415-555-0133, fax", "phone", "415-555-0133"),
+    ("dial 0049 30 123 45 67 now", "phone", "0049 30 123 45 67"), ("at 030 1234 5678 daily", "phone", "030 1234 5678"),
+    ("card 4111.1111.1111.1111 ok", "card", "4111.1111.1111.1111"), ("pay with 5500/0000/0000/0004 then", "card", "5500/0000/0000/0004"), ("host 10 . 0 . 0 . 1 is up", "ip", "10 . 0 . 0 . 1"),
+    ("at noon the dot moved", None, None), ("2021-03-04 12:30:11", None, None), ("ISBN 978-3-16-148410-0", None, None), ("order #12345678", None, None), ("id 1234567890123456 here", None, None),
+    ("population 1,234,567,890", None, None), ("pi is 3.14159265358979", None, None), ("from 1914 to 1918 and 1939 to 1945", None, None), ("look at the end. Dot to dot", None, None),
+]
+
+
+def test_variants():
+    model = pii.train()
+    right = found = 0
+    for text, kind, entity in VARIANTS:
+        got = {(k, text[s:e]) for k, s, e in pii.find_spans(text, model)[1]}
+        right, found = right + ((kind, entity) in got), found + len(got)
+    wanted = sum(kind is not None for _, kind, _ in VARIANTS)
+    assert right >= 0.8 * wanted and right >= 0.9 * found, (right, found, wanted)
+
+
+def test_decode_is_best_segmentation():
+    """Against the sum of every set of apart candidates."""
+    model = pii.train()
+    rnd = random.Random(8)
+    tokens = ["415", "-", "555", "0133", ".", "10", "4", "@", "a", "at", "dot", "com", "(", ")", "+1", " ", " ", "4111 1111 1111 1111"]
+    for _ in range(150):
+        text = "".join(rnd.choice(tokens) for _ in range(rnd.randrange(4, 12)))
+        line = pii.Line(text, 0, len(text))
+        arcs = []
+        for j, firsts in line.by_end():
+            for i in firsts:
+                gain, kind = model._scored(line.key(i, j))[1][line.facts(i, j)]
+                arcs.append((i, j, gain, (pii.KINDS[kind], *line.span(i, j))))
+
+        def best(at):
+            return max([0.0, *(gain + best(j) for i, j, gain, _ in arcs if i >= at and gain > 0)])  # noqa: B023
+
+        scores = {span: gain for _, _, gain, span in arcs}
+        got = model.decode(line)
+        assert all(a[2] <= b[1] for a, b in zip(got, got[1:], strict=False))
+        assert abs(sum(scores[s] for s in got) - best(0)) < 1e-6, text
+
+
+def test_long_texts():
+    """Texts of numbers take time and memory in proportion."""
+    import time
+    import tracemalloc
+
+    model = pii.train()
+    rnd = random.Random(2)
+    text = "".join(f"{rnd.randrange(1000)} " for _ in range(130_000))
+    pii.find_spans(text, model)
+    tracemalloc.start()
+    start = time.time()
+    pii.find_spans(text, model)
+    assert tracemalloc.get_traced_memory()[1] < 150e6 and time.time() - start < 30
+    tracemalloc.stop()
+
+
 def test_queries(spark, docs, no_docs):
     model = pii.train()
     rows = {r.doc_id: r for r in pii.span_digests(pii.find_pii(docs, model)).collect()}
