@@ -1,224 +1,98 @@
-"""House-number specifications as Column expressions: free text to nested rules.
+"""House-number specifications: free text to nested rules, an Arrow batch of entries at a time.
 
 A parsed entry is a struct: street, street_norm, parity, cls (WHOLE, RANGE, ENUM or
 INSTITUTION), number_kind (orientacne or supisne), spec (ranges of lo, hi, parity;
 singles; raw) and parse_warning, which is set where an entry with digits fell back to
-a whole street. Everything stays inside Spark's expressions, so that millions of
-entries parse without leaving the JVM.
+a whole street. The grammar is in hustings.functions.entries; entries are rows, so that
+documents of any number parse side by side, and plans that read the result stay small.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from typing import Any
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from hustings.functions.text import let, norm, squeeze
+from hustings.functions import entries
+from hustings.functions.text import let, norm
 
 RANGE_TYPE = "struct<lo:int,hi:int,parity:string>"
 SPEC_TYPE = f"struct<ranges:array<{RANGE_TYPE}>,singles:array<string>,raw:string>"
+_ENTRY_TYPE = f"struct<street:string,key:string,parity:string,cls:string,number_kind:string,spec:{SPEC_TYPE},parse_warning:boolean>"
 
-_UPPER = "A-ZÁÄČĎÉÍĹĽŇÓÔŔŠŤÚÝŽ"
-_LOWER = "a-záäčďéíĺľňóôŕšťúýž"
-_DASHES = "[–—]"
-_PARITY_TAIL = r"(?iu)\((?:ne)?párne\)\s*$"
-#: A place note between slashes marks an institution; a section letter between them doesn't.
-_INSTITUTION = rf"(?iu)/[^/]*[{_LOWER}]{{2,}}[^/]*/"
-_REGISTER_LIST = r"(?iu)^súpisn?[\p{L}]*\s+čísl[\p{L}]*\s+(.+)$"
-_STREET_AND_NUMBERS = rf"(?iu)^(.+?)(?:\s+|(?<=[{_LOWER}]))(\d.*)$"
-_NUMBER = r"(?i)^(?:\d+[a-z]?(?:/[a-z])?|[a-z])(?:\s*-\s*\d+[a-z]?)?$"
-_RANGE = r"(?i)^(\d+)[a-z]?\s*-\s*(\d+)[a-z]?$"
-
-
-def _parts(text: Column) -> Column:
-    return F.filter(F.transform(F.split(text, ","), lambda p: F.trim(p)), lambda p: p != "")
-
-
-def _bind_parity(ranges: Column, marked: Column) -> Column:
-    """The marked parity on the last range only, unless both its ends contradict it."""
-    last = F.size(ranges) - 1
-
-    def bound(r: Column, i: Column) -> Column:
-        against = (F.pmod(r["lo"], F.lit(2)) == F.pmod(r["hi"], F.lit(2))) & ((F.pmod(r["lo"], F.lit(2)) == 1) == (marked == "even"))
-        mine = (i == last) & (marked != "both") & ~against
-        return F.struct(r["lo"].alias("lo"), r["hi"].alias("hi"), F.when(mine, marked).otherwise(F.lit("both")).alias("parity"))
-
-    return F.transform(ranges, bound)
-
-
-def number_list(body: Column, marked: Column | None = None) -> Column:
-    """Comma-separated numbers, ranges and lone letters as a spec; a lone letter takes the number before it."""
-    marked = F.lit("both") if marked is None else marked
-    parts = _parts(body)
-    number = lambda p, g: F.regexp_extract(p, _RANGE, g).cast("int")
-    ranges = F.transform(
-        F.filter(parts, lambda p: p.rlike(_RANGE)),
-        lambda p: F.struct(number(p, 1).alias("lo"), number(p, 2).alias("hi"), F.lit("both").alias("parity")),
-    )
-    start = F.struct(F.lit("0").alias("last"), F.expr("cast(array() as array<string>)").alias("found"))
+_RANGE = pa.struct([("lo", pa.int32()), ("hi", pa.int32()), ("parity", pa.string())])
+_SPEC = pa.struct([("ranges", pa.list_(_RANGE)), ("singles", pa.list_(pa.string())), ("raw", pa.string())])
+_ENTRY = pa.struct([("street", pa.string()), ("key", pa.string()), ("parity", pa.string()), ("cls", pa.string()), ("number_kind", pa.string()), ("spec", _SPEC), ("parse_warning", pa.bool_())])
 
-    def step(a: Column, p: Column) -> Column:
-        is_range, digits, letter = p.rlike(_RANGE), F.regexp_extract(p, r"^\d+", 0), p.rlike(r"(?i)^[a-z]$")
-        last = F.when(is_range, F.regexp_extract(p, _RANGE, 2)).when(digits != "", digits).otherwise(a["last"])
-        single = F.when(is_range, F.lit(None)).when(digits != "", p).when(letter, F.concat(a["last"], F.upper(p)))
-        return F.struct(last.alias("last"), F.when(single.isNotNull(), F.array_append(a["found"], single)).otherwise(a["found"]).alias("found"))
 
-    singles = F.aggregate(parts, start, step, lambda a: a["found"])
-    return F.struct(_bind_parity(ranges, marked).alias("ranges"), singles.alias("singles"), body.alias("raw"))
+def _apply(function: Callable[[str], Any], ddl: str, kind: pa.DataType) -> Callable[[Column], Column]:
+    """function over the strings of a column; null stays null."""
 
+    def over(texts: pa.Array) -> pa.Array:
+        return pa.array([None if t is None else function(t) for t in texts.to_pylist()], kind)
 
-def parse_street_spec(entry: Column) -> Column:
-    """One entry ("Building 1-7, 9-31 (nepárne)") as a parsed struct."""
-    return let(squeeze(F.regexp_replace(entry, _DASHES, "-")), _parse_squeezed)
-
-
-def _parse_squeezed(s0: Column) -> Column:
-    marked_text = F.regexp_extract(s0, _PARITY_TAIL, 0)
-    parity = F.when(marked_text.rlike("(?iu)nepár"), "odd").when(marked_text != "", "even").otherwise("both")
-    s = F.trim(F.regexp_replace(s0, _PARITY_TAIL, ""))
-    parts = F.struct(s.alias("s"), F.trim(F.regexp_extract(s, _STREET_AND_NUMBERS, 1)).alias("street"), F.trim(F.regexp_extract(s, _STREET_AND_NUMBERS, 2)).alias("body"), parity.alias("parity"))
-    return let(parts, lambda p: let(number_list(p["body"], p["parity"]), lambda spec: _classify(s0, p, spec)))
-
-
-def _classify(s0: Column, p: Column, spec: Column) -> Column:
-    s, street, body, parity = (p[c] for c in ("s", "street", "body", "parity"))
-    listed = F.regexp_extract(s0, _REGISTER_LIST, 1)
-    numbered = (body != "") & F.forall(_parts(body), lambda p: p.rlike(_NUMBER))
-    none = F.lit(None).cast(SPEC_TYPE)
+    return F.arrow_udf(over, ddl)
 
-    def parsed(street: Column, key: Column, parity: Column, cls: Column, kind: str, spec: Column, warning: Column) -> Column:
-        named = {"street": street, "street_norm": key, "parity": parity, "cls": cls, "number_kind": F.lit(kind), "spec": spec.cast(SPEC_TYPE), "parse_warning": warning}
-        return F.struct(*(c.alias(n) for n, c in named.items()))
 
-    no, both = F.lit(False), F.lit("both")
-    cls = F.when((F.size(spec["ranges"]) > 0) & (F.size(spec["singles"]) == 0), "RANGE").otherwise("ENUM")
-    return (
-        F.when(listed != "", parsed(F.lit(""), F.lit(""), both, F.lit("ENUM"), "supisne", number_list(listed), no))
-        .when(s0.rlike(_INSTITUTION), parsed(s0, norm(F.regexp_replace(s0, r"\s*/[^/]*/\s*", " ")), both, F.lit("INSTITUTION"), "orientacne", none, no))
-        .when(numbered, parsed(street, norm(street), parity, cls, "orientacne", spec, no))
-        .otherwise(parsed(s, norm(s), parity, F.lit("WHOLE"), "orientacne", none, body != ""))
-    )
+def _spec(spec: tuple | None) -> dict | None:
+    return spec and {"ranges": [dict(zip(("lo", "hi", "parity"), r, strict=True)) for r in spec[0]], "singles": spec[1], "raw": spec[2]}
 
 
-def split_entries(text: Column) -> Column:
-    """A comma list of entries; fragments of numbers or a lone parity word stay with the entry before them."""
-    goes_on = lambda f: f.rlike(r"(?iu)^(\d|\(?(ne)?párne\)?$)")
-
-    def step(done: Column, fragment: Column) -> Column:
-        joined = F.concat(F.element_at(done, -1), F.lit(", "), fragment)
-        return F.when((F.size(done) > 0) & goes_on(fragment), F.concat(F.slice(done, 1, F.size(done) - 1), F.array(joined))).otherwise(F.array_append(done, fragment))
+def _struct(parse: Callable[[str], entries.Entry]) -> Callable[[str], dict]:
+    def made(text: str) -> dict:
+        found = parse(text)
+        return found._asdict() | {"spec": _spec(found.spec)}
 
-    return F.aggregate(_parts(F.trim(F.regexp_replace(text, r"\.\s*$", ""))), F.expr("cast(array() as array<string>)"), step)
+    return made
 
 
-def _rule(e: Column, pattern: str, out: str, parity_group: int | None = None) -> Column:
-    """out with groups filled in where pattern fits, else null; the group of "ne" decides the parity word."""
-    made = F.regexp_replace(e, pattern, out)
-    if parity_group:
-        odd = F.regexp_extract(e, pattern, parity_group) != ""
-        made = F.concat(made, F.when(odd, " (nepárne)").otherwise(" (párne)"))
-    return F.when(e.rlike(pattern), F.regexp_replace(made, r"\s*-\s*", "-"))
+def _normed(parsed: Column) -> Column:
+    names = ("parity", "cls", "number_kind", "spec", "parse_warning")
+    return let(parsed, lambda p: F.struct(p["street"].alias("street"), norm(p["key"]).alias("street_norm"), *(p[n].alias(n) for n in names)))
 
 
-def to_spec_input(entry: Column) -> Column:
-    """Parity words in any place as a trailing parenthesis; exclusions and section spans dropped."""
-    e = F.trim(F.regexp_replace(squeeze(entry), r"(?iu)\s+okrem\s+č\.?\s*\d+.*$", ""))
-    return let(F.regexp_replace(e, r"(?i)(\d+)/[a-z]\s*-\s*\1/[a-z]", "$1"), _trailing_parity)
+def parse_street_spec(entry: Column) -> Column:
+    """One entry in the plain form ("Building 1-7, 9-31 (nepárne)") as a parsed struct."""
+    return _normed(_apply(_struct(entries.parse), _ENTRY_TYPE, _ENTRY)(entry))
 
 
-def _trailing_parity(e: Column) -> Column:
-    both = r"(?iu)^(.+\d[\d\s/,-]*?)\s+(?:ne)?párne\s*,\s*(?:ne)?párne\s*$"
-    before = r"(?iu)^(.+?)\s+(ne)?párne\s+(\d.*)$"
-    after = r"(?iu)^(.+?\d[\d,\s/-]*[a-z]?)\s+(ne)?párne\s*$"
-    whole = r"(?iu)^(\D+?)\s+(ne)?párne\s*$"
-    return F.when(e.rlike(_PARITY_TAIL), e).otherwise(
-        F.coalesce(F.when(e.rlike(both), F.trim(F.regexp_extract(e, both, 1))), _rule(e, before, "$1 $3", 2), _rule(e, after, "$1", 2), _rule(e, whole, "$1", 2), e)
-    )
+def parse_entry(entry: Column) -> Column:
+    """An entry of a municipal document as a parsed struct: prose, parity words and streets named after dates included."""
+    return _normed(_apply(_struct(entries.parse_prose), _ENTRY_TYPE, _ENTRY)(entry))
 
 
-_FROM_TO = r"(?:od\s+)?(\d+)\s*([A-Za-z]?)\s*(?:do|až|-|–|—)\s*(\d+)\s*([A-Za-z]?)"
-_SPELLED = r"(?:od\s+)?(\d+)\s*([A-Za-z]?)\s*(?:do|až)\s*(\d+)\s*([A-Za-z]?)"
-#: Academic titles that open a signature.
-_TITLES = "JUDr|Mgr|Ing|PhDr|MUDr|RNDr|PaedDr|MVDr|ThDr|Bc|doc|prof"
+def prose_range(entry: Column) -> Column:
+    """Ranges told in prose ("párne čísla od 2 do 20") in the plain form, "2-20 (párne)"."""
+    return _apply(entries.plain, "string", pa.string())(entry)
 
 
-def prose_range(entry: Column) -> Column:
-    """Ranges told in prose ("párne čísla od 2 do 20") as "2-20 (párne)"."""
-    e = F.trim(F.regexp_replace(F.regexp_replace(squeeze(entry), r"(?iu)súp\.\s*č\.\s*\d+[a-z]?\s*,?\s*", ""), r",\s*,", ","))
-    return let(let(F.trim(F.regexp_replace(e, r"^,\s*|\s*,$", "")), _list_or_range), _spelled_range)
-
-
-def _list_or_range(e: Column) -> Column:
-    """A list in parentheses that repeats the street replaces the range beside it; notes and signatures go."""
-    noted = rf"^(.*?)\s*\(([{_UPPER}][^)]*)\)\s*$"
-    inner = F.trim(F.regexp_extract(e, noted, 2))
-    outer = F.trim(F.regexp_extract(e, noted, 1))
-    head = F.trim(F.regexp_replace(outer, r"\s+(?:od\s+)?\d.*$", ""))
-    repeats = (head != "") & inner.rlike(r"\d") & F.startswith(F.lower(inner), F.lower(head))
-    e = F.when(e.rlike(noted), F.when(repeats, inner).otherwise(outer)).otherwise(e)
-    for pattern, out in (
-        (r"(?iu)\s+sa vol[ií](?![\p{L}]).*$", ""),
-        (rf"(?iu)\s+(?:{_TITLES})\s*\..*$", ""),
-        (r"(?iu)\s+(?:ne)?párne\s+i\s+(?:ne)?párne", ""),
-        (r"(?iu)\s*\(\s*(?:ne)?párne\s*[,–—-]\s*(?:ne)?párne\s*\)", ""),
-        (r"(?iu)\s*[-–—]\s*((?:ne)?párne)\s*$", " $1"),
-        (r"(\d+)\s*[A-Za-z]\s*[-–—]\s*[A-Za-z](?![A-Za-z0-9])", "$1"),
-        (r"(\d)\s*[–—-]\s*(\d)", "$1-$2"),
-    ):
-        e = F.trim(F.regexp_replace(e, pattern, out))
-    return e
-
-
-def _spelled_range(e: Column) -> Column:
-    return F.coalesce(
-        _rule(e, rf"(?iu)^(.+?)\s+(ne)?párne(?:\s+čísla)?\s+{_FROM_TO}\s*$", "$1 $3$4-$5$6", 2),
-        _rule(e, rf"(?iu)^(.+?)\s+(?:čísla\s+)?{_FROM_TO}\s+(ne)?párne\s*$", "$1 $2$3-$4$5", 6),
-        _rule(e, rf"(?iu)^(.+?)\s+(?:čísla\s+)?{_SPELLED}\s*$", "$1 $2$3-$4$5"),
-        F.trim(F.regexp_replace(e, r"(?iu)\s+(všetky\s+čísla|všetky|cel[áé])\s*$", "")),
-    )
+def number_cell(cell: Column) -> Column:
+    """A cell of house numbers in the plain form; one that names both parities stays."""
+    return _apply(entries.number_cell, "string", pa.string())(cell)
 
 
 def split_glued(entry: Column) -> Column:
-    """Two entries where a number is followed by a capitalised name without digits, else one."""
-    pattern = rf"^(.*\d[^{_UPPER}]*?)\s+([{_UPPER}]\D{{2,}})$"
-    return F.when(entry.rlike(pattern), F.array(F.trim(F.regexp_extract(entry, pattern, 1)), F.trim(F.regexp_extract(entry, pattern, 2)))).otherwise(F.array(entry))
+    """Two entries where numbers are followed by a capitalised name without digits, else one."""
+    return _apply(entries.unglue, "array<string>", pa.list_(pa.string()))(entry)
 
 
 def expand_multi(entry: Column) -> Column:
     """One entry per number list where a street has several; a parity named once holds for all of them."""
-    # the numbers start at a digit after a blank that is no ordinal of the name
-    start = rf"(?iu)^(.*?)\s((?:(?:ne)?párne\s+)?\d(?!\d*\.\s*[{_LOWER}]).*)$"
-    word = r"(?iu)(?:^|\s)((?:ne)?párne)(?=\s|$)"
-
-    def pieces_of(e: Column) -> Column:
-        pieces = F.split(F.regexp_extract(e, start, 2), r"(?iu)\s*,\s*(?=(?:ne)?párne\s)|\s*,\s*(?=\d+\s*[-–—]\s*\d)|\s+a\s+(?=\d)")
-        pieces = F.filter(F.transform(pieces, lambda p: F.trim(F.regexp_replace(F.trim(p), "^,|,$", ""))), lambda p: p != "")
-        return F.struct(F.trim(F.regexp_extract(e, start, 1)).alias("street"), pieces.alias("pieces"))
-
-    def expanded(p: Column) -> Column:
-        street, pieces = p["street"], p["pieces"]
-        named = F.array_distinct(F.filter(F.transform(pieces, lambda x: F.lower(F.regexp_extract(x, word, 1))), lambda w: w != ""))
-        shared = F.when(F.size(named) == 1, F.concat(F.lit(" "), F.element_at(named, 1))).otherwise("")
-        several = F.transform(pieces, lambda x: F.concat(street, F.lit(" "), x, F.when(x.rlike(word), "").otherwise(shared)))
-        return F.when((street != "") & (F.size(pieces) > 1), several).otherwise(F.array(entry))
-
-    return let(let(squeeze(entry), pieces_of), expanded)
+    return _apply(entries.lists_of, "array<string>", pa.list_(pa.string()))(entry)
 
 
 def normalize_entry(entry: Column) -> Column:
     """Glued streets apart, then several number lists apart."""
-    return F.flatten(F.transform(split_glued(entry), expand_multi))
-
+    return _apply(entries.normalized, "array<string>", pa.list_(pa.string()))(entry)
 
-_DATE_STREET = rf"(?iu)^((?:ul(?:ica)?\.?|n[áa]m(?:estie)?\.?)?\s*\d+\.\s*[{_LOWER}]+)\s*(.*)$"
 
-
-def parse_entry(entry: Column) -> Column:
-    """An entry of a municipal document as a parsed struct: prose, parity words and streets named after dates included."""
-
-    def parsed(prose: Column) -> Column:
-        name, rest = F.regexp_extract(prose, _DATE_STREET, 1), F.regexp_extract(prose, _DATE_STREET, 2)
-        return let(parse_street_spec(to_spec_input(F.when(rest != "", F.concat(F.lit("Ulica "), rest)).otherwise(prose))), lambda p: (
-            F.when(rest != "", p.withField("street", squeeze(name)).withField("street_norm", norm(name))).otherwise(p)
-        ))
-
-    return let(prose_range(entry), parsed)
+def split_entries(text: Column) -> Column:
+    """A comma list of entries; fragments of numbers or a lone parity word stay with the entry before them."""
+    parts = F.filter(F.transform(F.split(F.regexp_replace(F.trim(text), r"\.\s*$", ""), ","), lambda p: F.trim(p)), lambda p: p != "")
+    goes_on = lambda f: f.rlike(r"(?iu)^(\d|\(?(ne)?párne\)?$)")
+    # an entry opens at a part that stands alone; the parts up to the next one are joined
+    marked = F.transform(parts, lambda p, i: F.concat(F.when((i > 0) & goes_on(p), ", ").otherwise("\n"), p))
+    return F.filter(F.split(F.array_join(marked, ""), "\n"), lambda e: e != "")

@@ -1,10 +1,11 @@
 """Matching register addresses to precinct rules.
 
 addresses: ra_id, mcnorm, street, orient, supisne; rules: mcnorm, street_norm, okrsok,
-parity, cls, number_kind, spec, row_idx (source order). The rule side is joined by
-(mcnorm, street key); Spark broadcasts it where its statistics say that it is small
-and shuffles both sides otherwise. Addresses stay one row each until their candidate
-rules are folded by ra_id, so the plan has the candidates' join and one aggregation.
+parity, cls, number_kind, spec, row_idx (source order). Rules are gathered by street of the
+register first, where names are normalised and tails tried once per street. Addresses
+then meet an array of their street's rules in one join, and everything else is a row's own: an
+address is one row in and one row out, whether its identifier is its own or not. Spark
+broadcasts the streets where its statistics say that they are few, and splits a hot one.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from hustings.functions.text import endpoint_parity, house_norm, let, norm, num_
 def keyed_rules(rules: DataFrame) -> DataFrame:
     """Rules as printed with their street key and tail; rules without a street name are left out."""
     key = street_key(F.col("street_norm"))
-    return rules.where("coalesce(street_norm, '') <> ''").withColumn("key", key).withColumn("tail", tail_of(F.col("key")))
+    return rules.where("coalesce(street_norm, '') <> ''").withColumn("key", key).select("*", let(F.col("key"), tail_of).alias("tail"))
 
 
 def index_rules(rules: DataFrame) -> DataFrame:
@@ -64,44 +65,70 @@ def resolve_split_parity(indexed: DataFrame) -> DataFrame:
     return indexed.join(streets, ["mcnorm", "key"], "left").withColumn("spec", spec).select(*indexed.columns)
 
 
-def row_matches(orient: Column, supisne: Column) -> Column:
-    """Whether an address falls under the rule in the columns cls, parity, number_kind and spec."""
-    value = F.when(F.col("number_kind") == "supisne", supisne).otherwise(orient)
-    house, number = house_norm(value), num_part(value)
-    in_range = F.exists("spec.ranges", lambda r: number.between(r["lo"], r["hi"]) & parity_ok(r["parity"], number))
-    listed = F.exists("spec.singles", lambda s: (house_norm(s) == house) | (s.rlike("^[0-9]+$") & (s.try_cast("int") == number)))
-    of_side = num_part(orient).isNotNull() & parity_ok(F.col("parity"), num_part(orient))
-    numbered = (F.coalesce(value, F.lit("")) != "") & (in_range | ((F.col("cls") == "ENUM") & listed))
-    return F.coalesce(
-        F.when(F.col("cls") == "INSTITUTION", False).when(F.col("cls") == "WHOLE", (F.col("parity") == "both") | of_side).otherwise(numbered), F.lit(False)
+def street_rules(streets: DataFrame, indexed: DataFrame) -> DataFrame:
+    """mcnorm, street, rule_key and rules (in source order) of each distinct street: by its key, else by a tail that names one street of the area.
+
+    Names are normalised once per street, however many addresses it has; a street's rules are those of one document.
+    """
+    key = street_key(norm(F.col("street")))
+    keyed = streets.select("mcnorm", "street").where("street is not null").distinct().withColumn("key", key)
+    keyed = keyed.select("*", let(F.col("key"), tail_of).alias("tail"))
+    rule = F.struct("row_idx", "okrsok", "parity", "cls", "number_kind", "spec")
+    by_key = indexed.groupBy("mcnorm", "key").agg(F.min("tail").alias("tail"), F.sort_array(F.collect_list(rule)).alias("rules"))
+    tails = by_key.where("tail is not null").groupBy("mcnorm", "tail").agg(F.min("key").alias("tail_key"), F.count("*").alias("n")).where("n = 1").drop("n")
+    known = by_key.select("mcnorm", "key", F.lit(True).alias("known"))
+    found = keyed.join(known, ["mcnorm", "key"], "left").join(tails, ["mcnorm", "tail"], "left")
+    found = found.select("mcnorm", "street", F.when(F.col("known"), F.col("key")).otherwise(F.col("tail_key")).alias("rule_key"))
+    return found.join(by_key.select("mcnorm", F.col("key").alias("rule_key"), "rules"), ["mcnorm", "rule_key"], "left").select("mcnorm", "street", "rule_key", "rules")
+
+
+def _numbers_of(orient: Column, supisne: Column) -> Column:
+    """What rules ask of an address: its numbers in normal form and as integers."""
+    return F.struct(
+        F.struct(house_norm(orient).alias("house"), num_part(orient).alias("n"), (F.coalesce(orient, F.lit("")) != "").alias("has")).alias("orient"),
+        F.struct(house_norm(supisne).alias("house"), num_part(supisne).alias("n"), (F.coalesce(supisne, F.lit("")) != "").alias("has")).alias("supisne"),
     )
 
 
+def rule_fits(rule: Column, numbers: Column) -> Column:
+    """Whether an address with these numbers falls under a rule of its street."""
+
+    def by_number(value: Column) -> Column:
+        in_range = F.exists(rule["spec"]["ranges"], lambda r: value["n"].between(r["lo"], r["hi"]) & parity_ok(r["parity"], value["n"]))
+        listed = F.exists(rule["spec"]["singles"], lambda s: (house_norm(s) == value["house"]) | (s.rlike("^[0-9]+$") & (s.try_cast("int") == value["n"])))
+        return value["has"] & (in_range | ((rule["cls"] == "ENUM") & listed))
+
+    of_side = parity_ok(rule["parity"], numbers["orient"]["n"])
+    numbered = let(F.when(rule["number_kind"] == "supisne", numbers["supisne"]).otherwise(numbers["orient"]), by_number)
+    return F.coalesce(F.when(rule["cls"] == "INSTITUTION", False).when(rule["cls"] == "WHOLE", (rule["parity"] == "both") | of_side).otherwise(numbered), F.lit(False))
+
+
+def _with_rules(addresses: DataFrame, indexed: DataFrame) -> DataFrame:
+    """addresses, each once, with rule_key, rules and hits: the rules of its street, and those of them that it falls under."""
+    found = addresses.join(street_rules(addresses, indexed), ["mcnorm", "street"], "left").select(*addresses.columns, "rule_key", "rules")
+    hits = let(_numbers_of(F.col("orient"), F.col("supisne")), lambda n: F.filter("rules", lambda r: rule_fits(r, n)))
+    return found.withColumn("hits", hits)
+
+
 def candidates(addresses: DataFrame, indexed: DataFrame) -> DataFrame:
-    """A row per address and rule of its street (by key, else by a tail that names one street of the area), with hit."""
-    keyed = addresses.withColumn("key", street_key(norm(F.col("street")))).withColumn("tail", tail_of(F.col("key")))
-    streets = indexed.select("mcnorm", "key", "tail").distinct()
-    tails = streets.where("tail is not null").groupBy("mcnorm", "tail").agg(F.min("key").alias("tail_key"), F.count("*").alias("n")).where("n = 1").drop("n")
-    named = streets.select("mcnorm", "key", F.lit(True).alias("known"))
-    found = keyed.join(named, ["mcnorm", "key"], "left").join(tails, ["mcnorm", "tail"], "left")
-    found = found.withColumn("rule_key", F.when(F.col("known"), F.col("key")).otherwise(F.col("tail_key"))).drop("key", "tail", "known", "tail_key")
-    rule = indexed.select("mcnorm", F.col("key").alias("rule_key"), "okrsok", "parity", "cls", "number_kind", "spec", "row_idx")
-    return found.join(rule, ["mcnorm", "rule_key"], "left").withColumn("hit", row_matches(F.col("orient"), F.col("supisne")))
+    """A row per address and rule of its street, with hit; an address without rules is one row."""
+    rows = _with_rules(addresses, indexed).withColumn("rule", F.explode_outer("rules"))
+    hit = F.coalesce(F.exists("hits", lambda h: h["row_idx"] == F.col("rule.row_idx")), F.lit(False))
+    return rows.select(*addresses.columns, "rule_key", "rule.*", hit.alias("hit"))
 
 
 def match(addresses: DataFrame, indexed: DataFrame) -> DataFrame:
-    """addresses with status (ok, ambiguous, no-street, no-number), okrsok and row_idx of the first rule that decides."""
+    """addresses, row by row, with status (ok, ambiguous, no-street, no-number), okrsok and row_idx of the first rule that decides."""
     lettered = F.col("orient").rlike("(?i)[a-z]")
-    exact = (F.col("cls") == "ENUM") & F.exists("spec.singles", lambda s: house_norm(s) == house_norm(F.col("orient")))
-    rows = candidates(addresses, indexed).withColumn("h", F.when(F.col("hit"), F.struct("row_idx", "okrsok", "cls", F.coalesce(lettered & exact, F.lit(False)).alias("exact"))))
-    own = addresses.columns
-    folded = rows.groupBy(*own).agg(F.count("row_idx").alias("n_rules"), F.sort_array(F.collect_list("h")).alias("hits"))
-    narrowed = F.when((F.size("hits") > 1) & F.exists("hits", lambda h: h["exact"]), F.filter("hits", lambda h: h["exact"])).otherwise(F.col("hits"))
-    folded = folded.withColumn("hits", narrowed).withColumn("specific", F.filter("hits", lambda h: h["cls"] != "WHOLE"))
+    exact = lambda h: (h["cls"] == "ENUM") & F.exists(h["spec"]["singles"], lambda s: house_norm(s) == house_norm(F.col("orient")))
+    only = F.when(lettered & (F.size("hits") > 1), F.filter("hits", exact))
+    named = _with_rules(addresses, indexed).withColumn("hits", let(only, lambda e: F.when(F.size(e) > 0, e).otherwise(F.col("hits"))))
     single = lambda c: F.size(F.array_distinct(F.transform(c, lambda h: h["okrsok"]))) == 1
-    chosen = F.when(single("hits"), F.get("hits", F.lit(0))).when(single("specific"), F.get("specific", F.lit(0)))
-    status = F.when(F.col("n_rules") == 0, "no-street").when(F.size("hits") == 0, "no-number").when(F.col("chosen").isNotNull(), "ok").otherwise("ambiguous")
-    return folded.withColumn("chosen", chosen).select(*own, status.alias("status"), F.col("chosen.okrsok").alias("okrsok"), F.col("chosen.row_idx").alias("row_idx"))
+    specific = F.filter("hits", lambda h: h["cls"] != "WHOLE")
+    chosen = F.when(single(F.col("hits")), F.get("hits", F.lit(0))).otherwise(let(specific, lambda s: F.when(single(s), F.get(s, F.lit(0)))))
+    decided = named.withColumn("chosen", chosen)
+    status = F.when(F.col("rules").isNull(), "no-street").when(F.size("hits") == 0, "no-number").when(F.col("chosen").isNotNull(), "ok").otherwise("ambiguous")
+    return decided.select(*addresses.columns, status.alias("status"), F.col("chosen.okrsok").alias("okrsok"), F.col("chosen.row_idx").alias("row_idx"))
 
 
 def seed_stats(matched: DataFrame, indexed: DataFrame) -> DataFrame:
@@ -117,7 +144,8 @@ def seed_stats(matched: DataFrame, indexed: DataFrame) -> DataFrame:
 def uncovered_rules(matched: DataFrame, indexed: DataFrame) -> DataFrame:
     """Rules other than institutions that decide no address, with the register's addresses on their street."""
     used = matched.where("row_idx is not null").select("row_idx").distinct()
-    on_street = matched.groupBy("mcnorm", street_key(norm(F.col("street"))).alias("key")).agg(F.count("*").alias("ra_pts_on_street"))
+    by_name = matched.groupBy("mcnorm", "street").agg(F.count("*").alias("n"))
+    on_street = by_name.groupBy("mcnorm", street_key(norm(F.col("street"))).alias("key")).agg(F.sum("n").alias("ra_pts_on_street"))
     left = indexed.where("cls <> 'INSTITUTION'").join(used, "row_idx", "left_anti").join(on_street, ["mcnorm", "key"], "left")
     return left.select("mcnorm", "okrsok", "key", "cls", "row_idx", F.coalesce("ra_pts_on_street", F.lit(0).cast("long")).alias("ra_pts_on_street"))
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from hustings.functions import specs
 from hustings.operators import matching
 from hustings.plans.adapters import ENTRIES, MATCHED, RULES, addresses, table
+from hustings.sources.staging import stage
 
 
 def rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,7 +26,8 @@ def keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return matching.index_rules(rules(spark, sf_dir))
+    """The rules to match by, parsed and resolved once; what reads them begins at a table."""
+    return stage(matching.index_rules(rules(spark, sf_dir)))
 
 
 def matched(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,11 +48,13 @@ def range_membership(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def seed_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return matching.seed_stats(matched(spark, sf_dir), indexed(spark, sf_dir))
+    index = indexed(spark, sf_dir)
+    return matching.seed_stats(matching.match(addresses(spark, sf_dir), index), index)
 
 
 def uncovered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return matching.uncovered_rules(matched(spark, sf_dir), indexed(spark, sf_dir)).withColumn("row_idx", F.col("row_idx").cast("long"))
+    index = indexed(spark, sf_dir)
+    return matching.uncovered_rules(matching.match(addresses(spark, sf_dir), index), index).withColumn("row_idx", F.col("row_idx").cast("long"))
 
 
 def collision_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
