@@ -1,12 +1,12 @@
 """Personal data: exact patterns, and a semi-Markov conditional random field for other spellings.
 
-The base patterns are found by linear scans of each whole text. Lines with a digit,
-an at sign or a spelled dot are cut into tokens, whole, and a semi-Markov CRF scores
-candidate segments by features of the whole span (shape, number of digits, checksum,
+The base patterns are found by linear scans of each whole text. Lines with an at sign
+or a spelled dot, and numbers up to the next words, are cut into tokens, and a semi-Markov
+CRF scores candidate segments by features of the whole span (shape, number of digits, checksum,
 octets, neighbours). Candidates are what can be an entity at all: segments of up to
 MAX_TOKENS tokens in one line that hold LEAST_DIGITS to MOST_DIGITS digits and no
 word, or four numbers, or one at and a dot behind it. A dynamic program chooses
-boundaries and types of all entities of a line together. Spans whose score beats
+boundaries and types of all their entities together. Spans whose score beats
 leaving their tokens alone by MARGIN, and which touch no base span, are added to the
 base ones: phones without a plus, cards with other separators, addresses spelled
 "name at host dot tld" or with brackets.
@@ -89,8 +89,10 @@ def base_spans(text: str) -> list[Span]:
 
 
 _TOKEN = re.compile(r"[A-Za-z]+|[0-9]+|[^\sA-Za-z0-9]")
-#: What a line must hold to be read: a digit, an at sign or a spelled dot.
-_TRIGGER = re.compile(r"[0-9@]|\b[Dd][Oo][Tt]\b")
+_DIGITS = re.compile(r"[0-9]+")
+#: A number and what follows it up to a word: all that a segment of numbers can be in.
+_RUN = re.compile(r"[0-9][^A-Za-z\n]*")
+_ADDRESS = re.compile(r"@|\b[Dd][Oo][Tt]\b")
 #: Digits of a number's span; octets have fewer, in four parts.
 LEAST_DIGITS, MOST_DIGITS = 9, 19
 #: Codes of segments, scored, that a worker remembers; the memo starts afresh when it is full.
@@ -100,14 +102,35 @@ _NUMBER = 0xE000
 _DOUBLED = str.maketrans("0123456789", "0246813579")
 
 
-def lines(text: str) -> Iterator[tuple[int, int]]:
-    """Lines that may hold an entity, whole."""
-    end = -1
-    while m := _TRIGGER.search(text, end + 1):
-        start = text.rfind("\n", 0, m.start()) + 1
-        end = text.find("\n", m.start())
-        end = len(text) if end < 0 else end
-        yield start, end
+def stretches(text: str) -> Iterator[tuple[int, int]]:
+    """Parts of the text that hold all candidates, with the tokens beside them: whole lines with an at sign or a spelled
+    dot, and in other lines what is between two words, if it has enough digits."""
+    address = [(-1, -1)]
+    for m in _ADDRESS.finditer(text):
+        if m.start() >= address[-1][1]:
+            end = text.find("\n", m.start())
+            address.append((text.rfind("\n", 0, m.start()) + 1, len(text) if end < 0 else end))
+    yield from address[1:]
+    for m in _RUN.finditer(text):
+        a, b = m.span()
+        if b - a < 2 * 4 - 1:
+            continue
+        k = bisect_right(address, (a, len(text))) - 1
+        if a < address[k][1]:
+            continue
+        parts = _DIGITS.findall(m[0])
+        if sum(map(len, parts)) < LEAST_DIGITS and len(parts) < 4:
+            continue
+        # a sign or bracket in front, and the words on both sides
+        while a and text[a - 1] in "+( ":
+            a -= 1
+        while a and text[a - 1].isascii() and text[a - 1].isalpha():
+            a -= 1
+        if a and not text[a - 1].isspace() and m.start() - a < 3:
+            a -= 1
+        while b < len(text) and text[b].isascii() and text[b].isalpha():
+            b += 1
+        yield a, b
 
 
 def _luhn(digits: str) -> bool:
@@ -115,7 +138,7 @@ def _luhn(digits: str) -> bool:
 
 
 class Line:
-    """Tokens of a line and the candidate segments among them.
+    """Tokens of a line, or of a part of it, and the candidate segments among them.
 
     A token's class is one character: a private one for the length of a number, "a"
     for a word, "A" and "D" for the words at and dot, else the mark itself. codes
@@ -157,8 +180,9 @@ class Line:
                 yield j, firsts
 
     def addresses(self) -> dict[int, list[int]]:
-        """First tokens, by end, of segments with one at and a dot behind it."""
-        kind = self.kind
+        """First tokens, by end, of segments with one at and a dot behind it, and blanks only beside these and their brackets."""
+        kind, codes = self.kind, self.codes
+        gap = lambda k: codes[2 * k + 2] == " "  # noqa: E731  before token k
         out: dict[int, list[int]] = {}
         for at in range(1, self.n - 2):
             if kind[at] not in "@A":
@@ -166,13 +190,13 @@ class Line:
             dots = "D" if kind[at] == "A" else ".D"
             ends, dot = [], False
             for j in range(at + 1, min(self.n, at + MAX_TOKENS)):
-                if kind[j] in "@A":
+                if kind[j] in "@A" or gap(j) and not (kind[j] in dots + "[(<])>" or kind[j - 1] in dots + "@A[(<])>"):
                     break
                 if dot and kind[j] == "a":
                     ends.append(j + 1)
                 dot = dot or kind[j] in dots
             for i in range(at - 1, max(-1, at - 1 - MAX_TOKENS), -1) if ends else ():
-                if kind[i] in "@A":
+                if kind[i] in "@A" or gap(i + 1) and not (kind[i + 1] in "@A[(<" or kind[i] in "[(<"):
                     break
                 if kind[i] in "aD" or self.digits[i]:
                     for j in ends:
@@ -248,8 +272,10 @@ class SemiCRF:
 
     def _scored(self, key: str) -> tuple[float, dict]:
         """(best score, best score and kind for each pair of facts) of segments with these codes, less MARGIN."""
+        sizes = [ord(k) - _NUMBER for k in key[3:-2:2] if _is_number(k)]
+        asked = (12 <= sum(sizes) <= MOST_DIGITS, len(sizes) == 4 and sum(sizes) <= 12)
         found = {}
-        for facts in product((None, False, True), repeat=2):
+        for facts in product(*((False, True) if a else (None,) for a in asked)):
             scores = self.weights[:, span_features(key, *facts)].sum(1)
             kind = int(scores.argmax())
             found[facts] = float(scores[kind]) - MARGIN, kind
@@ -287,7 +313,7 @@ class SemiCRF:
         """Adagrad on the likelihood of marked lines, by forward and backward sums over their segmentations."""
         lattices = []
         for text, truth in examples:
-            for a, b in lines(text):
+            for a, b in stretches(text):
                 line = Line(text, a, b)
                 arcs = [(i, j, span_features(line.key(i, j), *line.facts(i, j)), np.array([(kind, *line.span(i, j)) in truth for kind in KINDS])) for j, firsts in line.by_end() for i in firsts]
                 if arcs:
@@ -390,14 +416,10 @@ def train(sentences: list[tuple[str, set[Span]]] | None = None) -> SemiCRF:
 def find_spans(text: str, model: SemiCRF) -> tuple[list[Span], list[Span]]:
     """(base spans, all spans), each by start and kind."""
     base = base_spans(text)
-    if not _TRIGGER.search(text):
-        return base, base
     starts = [s for _, s, _ in base]
     reach = [*accumulate((e for _, _, e in base), max)]  # furthest end of the base spans up to each
     extra = []
-    for a, b in lines(text):
-        if b - a < 4:
-            continue
+    for a, b in stretches(text):
         for kind, s, e in model.decode(Line(text, a, b)):
             k = bisect_left(starts, e)
             if not k or reach[k - 1] <= s:  # touches no base span

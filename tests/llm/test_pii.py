@@ -91,6 +91,20 @@ def test_decode_is_best_segmentation():
         assert abs(sum(scores[s] for s in got) - best(0)) < 1e-6, text
 
 
+def test_stretches_hold_all_candidates():
+    """The parts that are read give what whole lines give."""
+    model = pii.train()
+    rnd = random.Random(12)
+    tokens = ["415", "-", "555 0133", ".", "10", "4", "@", "a", "at", "dot", "com", "(", ")", "+1", " ", " ", "\n", "4111/1111/1111/1111", "word", "é", "10 . 0 . 0 . 1"]
+    for _ in range(400):
+        text = "".join(rnd.choice(tokens) for _ in range(rnd.randrange(4, 30)))
+        whole, at = [], 0
+        for line in text.split("\n"):
+            whole += model.decode(pii.Line(text, at, at + len(line)))
+            at += len(line) + 1
+        assert sorted(whole) == sorted(s for a, b in pii.stretches(text) for s in model.decode(pii.Line(text, a, b))), text
+
+
 def test_long_texts():
     """Texts of numbers take time and memory in proportion."""
     import time
