@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hustings.plans import document_queries, geometry_queries, matching_queries, serving_queries, text_queries
+from hustings.plans import document_queries, geometry_queries, label_queries, matching_queries, serving_queries, text_queries
 
-MODULES = [matching_queries, text_queries, document_queries, geometry_queries, serving_queries]
+MODULES = [matching_queries, text_queries, document_queries, geometry_queries, serving_queries, label_queries]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
