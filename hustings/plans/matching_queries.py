@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from hustings.functions import specs
 from hustings.operators import matching
-from hustings.plans.adapters import ENTRIES, MATCHED, RULES, addresses, table
+from hustings.plans.adapters import ENTRIES, MATCHED, RULES, addresses, sql, table
 from hustings.sources.staging import stage
 
 
@@ -67,12 +67,6 @@ def self_test(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def top_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The twelve streets, of all areas together as in the twin, with the most addresses without a precinct."""
-    left = matched(spark, sf_dir).where("status <> 'ok'").groupBy("mcnorm", "street").agg(F.count("*").alias("n"))
-    return left.orderBy(F.desc("n"), "mcnorm", "street").limit(12)
-
-
-def top_unmatched_by_area(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The twelve streets of each area with the most addresses without a precinct."""
     return matching.top_unmatched(matched(spark, sf_dir))
 
@@ -84,13 +78,6 @@ def tail_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SPLIT = """
-SELECT o_orderkey AS row_idx, concat('mc', cast(o_custkey % 50 AS varchar(4))) AS mcnorm, concat('street ', cast(o_custkey % 7 AS varchar(2))) AS key,
-  cast(o_orderkey % 5 AS int) AS okrsok, cast(o_orderkey % 13 AS int) AS lo, cast(o_orderkey % 13 + 4 * (o_orderkey % 3) AS int) AS hi
-FROM {orders} WHERE o_orderpriority = '1-URGENT'
-"""
-
-
-SPLIT_WHOLE = """
 SELECT o_orderkey AS row_idx, concat('mc', cast(o_custkey % 50 AS varchar(4))) AS mcnorm, concat('street ', cast(o_custkey % 7 AS varchar(2))) AS key,
   cast(o_orderkey % 5 AS int) AS okrsok, cast(o_orderkey % 13 AS int) AS lo, cast(o_orderkey % 13 + 4 * (o_orderkey % 3) + CASE WHEN o_orderkey % 11 = 0 THEN 1 ELSE 0 END AS int) AS hi,
   CASE WHEN o_orderkey % 4 <> 0 THEN 'both' WHEN o_orderkey % 13 % 2 = 1 THEN 'odd' ELSE 'even' END AS parity
@@ -98,23 +85,15 @@ FROM {orders}
 """
 
 
-def split_parity_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """split_parity over every order, a fourth of the ranges marked; split_parity takes urgent orders only, as its twin does."""
-    ranges = spark.sql(SPLIT_WHOLE, orders=table(spark, sf_dir, "orders"))
-    spec = F.struct(F.array(F.struct("lo", "hi", "parity")).alias("ranges"), F.array().cast("array<string>").alias("singles"), F.lit("").alias("raw"))
-    fixed = matching.resolve_split_parity(ranges.withColumn("spec", spec))
-    return fixed.select("row_idx", "okrsok", F.col("spec.ranges")[0]["parity"].alias("parity"))
-
-
 def split_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Unmarked ranges of one street in several precincts get the side of their ends."""
-    ranges = spark.sql(SPLIT, orders=table(spark, sf_dir, "orders"))
-    spec = F.struct(F.array(F.struct("lo", "hi", F.lit("both").alias("parity"))).alias("ranges"), F.array().cast("array<string>").alias("singles"), F.lit("").alias("raw"))
+    """Unmarked ranges of one street in several precincts get the side of their ends; a fourth of the ranges is marked."""
+    ranges = sql(spark, sf_dir, SPLIT, "orders")
+    spec = F.struct(F.array(F.struct("lo", "hi", "parity")).alias("ranges"), F.array().cast("array<string>").alias("singles"), F.lit("").alias("raw"))
     fixed = matching.resolve_split_parity(ranges.withColumn("spec", spec))
     return fixed.select("row_idx", "okrsok", F.col("spec.ranges")[0]["parity"].alias("parity"))
 
 
-QUERIES = {f.__name__: f for f in (match_status, match_ambiguous, range_membership, seed_stats, collision_audit, self_test, top_unmatched, top_unmatched_by_area, tail_fallback, split_parity, split_parity_whole)}
+QUERIES = {f.__name__: f for f in (match_status, match_ambiguous, range_membership, seed_stats, collision_audit, self_test, top_unmatched, tail_fallback, split_parity)}
 QUERIES["uncovered_rules"] = uncovered
 
 _KEY = MATCHED.rstrip()
@@ -136,15 +115,11 @@ ORACLES = {
         SELECT cast(i AS varchar), 1, CASE WHEN i < 40 THEN 'ok' ELSE 'miss' END FROM range(1, 61) t(i) UNION ALL SELECT cast(i AS varchar), 2, CASE WHEN i > 60 THEN 'ok' ELSE 'miss' END FROM range(40, 98) t(i)
         UNION ALL SELECT 'b' || i, 1, 'ok' FROM range(0, 25 + 24 + 31 + 3 + 3) t(i))
       SELECT concat('mc', cast(n_nationkey AS varchar)) AS mcnorm, result, count(*) AS n FROM nation, probe GROUP BY ALL""",
-    "top_unmatched": f"{_KEY} SELECT mcnorm, street, count(*) AS n FROM matched WHERE status <> 'ok' GROUP BY mcnorm, street ORDER BY n DESC, mcnorm, street LIMIT 12",
-    "top_unmatched_by_area": f"""{_KEY} SELECT mcnorm, street, n FROM (SELECT mcnorm, street, count(*) AS n, row_number() OVER (PARTITION BY mcnorm ORDER BY count(*) DESC, street) AS k
+    "top_unmatched": f"""{_KEY} SELECT mcnorm, street, n FROM (SELECT mcnorm, street, count(*) AS n, row_number() OVER (PARTITION BY mcnorm ORDER BY count(*) DESC, street) AS k
       FROM matched WHERE status <> 'ok' GROUP BY mcnorm, street) WHERE k <= 12""",
     "tail_fallback": f"""{_KEY} SELECT k.mcnorm, k.key AS rule_key, count(DISTINCT k.ra_id) AS n FROM keyed k SEMI JOIN rules r ON r.mcnorm = k.mcnorm AND r.key = k.key
       WHERE street LIKE 'A. %' GROUP BY ALL""",
-    "split_parity": f"""WITH r AS ({SPLIT.replace("{orders}", "orders")}), s AS (SELECT *, lo % 2 = 1 AS odd FROM r)
-      SELECT a.row_idx, a.okrsok, CASE WHEN EXISTS (SELECT 1 FROM s b WHERE b.mcnorm = a.mcnorm AND b.key = a.key AND b.okrsok <> a.okrsok AND b.odd <> a.odd AND a.lo <= b.hi AND b.lo <= a.hi)
-        THEN CASE WHEN a.odd THEN 'odd' ELSE 'even' END ELSE 'both' END AS parity FROM s a""",
-    "split_parity_whole": f"""WITH r AS ({SPLIT_WHOLE.replace("{orders}", "orders")}), s AS (SELECT *, CASE WHEN lo % 2 = hi % 2 THEN CASE WHEN lo % 2 = 1 THEN 'odd' ELSE 'even' END END AS side FROM r),
+    "split_parity": f"""WITH r AS ({SPLIT.replace("{orders}", "orders")}), s AS (SELECT *, CASE WHEN lo % 2 = hi % 2 THEN CASE WHEN lo % 2 = 1 THEN 'odd' ELSE 'even' END END AS side FROM r),
       k AS (SELECT DISTINCT mcnorm, key, okrsok, lo, hi, side FROM s WHERE side IS NOT NULL)
       SELECT a.row_idx, a.okrsok, CASE WHEN a.parity = 'both' AND EXISTS (SELECT 1 FROM k b WHERE b.mcnorm = a.mcnorm AND b.key = a.key AND b.okrsok <> a.okrsok AND b.side <> a.side AND a.lo <= b.hi AND b.lo <= a.hi)
         THEN a.side ELSE a.parity END AS parity FROM s a""",

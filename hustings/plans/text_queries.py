@@ -13,11 +13,6 @@ from hustings.sources import readers
 
 
 def norm_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", text.norm(F.substring_index("text", ".", 1)).alias("normed"))
-
-
-def norm_text_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole documents; norm_text takes what stands before the first full stop, as its twin does."""
     return table(spark, sf_dir, "documents").select("doc_id", text.norm(F.col("text")).alias("normed"))
 
 
@@ -116,15 +111,14 @@ def glued_street_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    norm_text, norm_text_whole, street_key, slug_key, house_norm, golden_angle_color, label_point_text, percent_label, split_entries, parse_spec_ranges, hash_params, tag_map_filter, html_list_scan,
+    norm_text, street_key, slug_key, house_norm, golden_angle_color, label_point_text, percent_label, split_entries, parse_spec_ranges, hash_params, tag_map_filter, html_list_scan,
     rule_for_address, levenshtein_fix, glued_street_split,
 )}
 
 _NORM = r"trim(regexp_replace(regexp_replace(lower(strip_accents({})), '[''’`´]', '', 'g'), '[\s\x{{a0}}]+', ' ', 'g'))"
 _ADDR = duck(ADDRESSES, "customer")
 ORACLES = {
-    "norm_text": f"SELECT doc_id, {_NORM.format("split_part(text, '.', 1)")} AS normed FROM documents",
-    "norm_text_whole": f"SELECT doc_id, {_NORM.format('text')} AS normed FROM documents",
+    "norm_text": f"SELECT doc_id, {_NORM.format('text')} AS normed FROM documents",
     "street_key": f"SELECT ra_id, regexp_replace(replace(replace(lower(strip_accents(street)), 'ul. ', ''), '.', ''), ' ulica$', '') AS key FROM ({_ADDR})",
     "slug_key": f"SELECT ra_id, regexp_replace(lower(strip_accents(concat(mcnorm, ' ', street))), '[^a-z0-9]', '', 'g') AS slug FROM ({_ADDR})",
     "house_norm": f"SELECT ra_id, upper(replace(orient, '/', '')) AS house, try_cast(regexp_extract(orient, '[0-9]+') AS int) AS num FROM ({_ADDR})",

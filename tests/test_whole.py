@@ -18,7 +18,7 @@ def test_norm_covers_whole_texts(spark):
     raw = {r.doc_id: r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
     plain = lambda s: "".join(c for c in unicodedata.normalize("NFD", s) if not 0x300 <= ord(c) <= 0x36F)
     want = {k: re.sub(r"[\s\xa0]+", " ", re.sub("['’`´]", "", plain(s).lower())).strip(" ") for k, s in raw.items()}
-    got = {r.doc_id: r.normed for r in registry.queries()["norm_text_whole"](spark, SMALL).collect()}
+    got = {r.doc_id: r.normed for r in registry.queries()["norm_text"](spark, SMALL).collect()}
     assert got == want and any("." in s[:-1] for s in got.values())
 
 
@@ -59,7 +59,7 @@ def test_shared_houses_of_a_split_street(spark):
 
 def test_split_parity_takes_every_order_and_mark(spark):
     orders = spark.read.parquet(f"{SMALL}/orders.parquet").count()
-    found = registry.queries()["split_parity_whole"](spark, SMALL)
+    found = registry.queries()["split_parity"](spark, SMALL)
     assert found.count() == orders and {r.parity for r in found.select("parity").distinct().collect()} == {"both", "odd", "even"}
 
 
