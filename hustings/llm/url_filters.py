@@ -9,12 +9,11 @@ last rule that starts at or before it, less the rules that the key has left; a
 running last value carries it. The same sweep runs a second time within the rule
 hosts that a url is under, for the paths.
 
-The sweep runs over distinct keys, in SPLITTERS + 1 ranges of them. The range
-bounds are the keys with the smallest hashes: a uniform, repeatable sample of
-SPLITTERS keys, the only thing that reaches the driver. What is open at the start
-of a range is the stack of the last rule before it. Neither urls nor rules are
-broadcast, and a host that owns a third of all urls is one key of the first sweep
-and is spread by its paths in the second.
+The sweep runs over distinct keys, dealt by Spark into ranges whose number follows
+from their size, and written with the number of their range. What is open at the start
+of a range is the stack of the last rule before it, one row per range. Neither urls nor
+rules are broadcast, and a host that owns a third of all urls is one key of the first
+sweep and is spread by its paths in the second.
 
 A rule fits its host and subdomains if the path starts with the rule's path. The
 longest rule (host and path as one string) wins, of equal length the one with
@@ -33,8 +32,6 @@ from pyspark.sql.window import Window
 
 from hustings.llm._spark import stage_table
 
-#: Range bounds of a sweep, also the number of keys that the driver sees.
-SPLITTERS = 63
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -54,12 +51,6 @@ def host_key(host: Column) -> Column:
 
 def _open_rules(keys: DataFrame, rules: DataFrame) -> DataFrame:
     """key, stack: the rule prefixes of each distinct key that has any, shortest first. One column each, key and prefix, without repeats."""
-    spark = keys.sparkSession
-    points = keys.select("key", F.lit(False).alias("opens")).unionByName(rules.select(F.col("prefix").alias("key"), F.lit(True).alias("opens")))
-    splitters = sorted({r[0] for r in points.select("key").orderBy(F.xxhash64("key"), "key").limit(SPLITTERS).collect()}, key=lambda s: s.encode())
-    bounds = F.array(*map(F.lit, splitters)) if splitters else F.expr("cast(array() as array<string>)")
-    placed = lambda df, c: df.withColumn("part", F.size(F.filter(bounds, lambda b: b <= F.col(c))))
-
     # the stack that a rule opens: itself and the rules that are prefixes of it
     opened = (
         rules.select("prefix", F.explode(F.sequence(F.lit(1), F.length("prefix"))).alias("n"))
@@ -67,18 +58,17 @@ def _open_rules(keys: DataFrame, rules: DataFrame) -> DataFrame:
         .join(rules.select(F.col("prefix").alias("outer")), "outer", "left_semi")
         .groupBy("prefix").agg(F.sort_array(F.collect_set("outer")).alias("stack"))
     )
-    opened = placed(opened, "prefix")
-    last_of_part = opened.groupBy("part").agg(F.max_by("stack", "prefix").alias("stack"))
-    before = (
-        spark.range(len(splitters) + 1).select(F.col("id").cast("int").alias("part")).join(last_of_part, "part", "left")
-        .select("part", F.last("stack", ignorenulls=True).over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)).alias("carried"))
-    )
-    events = placed(keys.select("key", F.lit(1).alias("turn"), F.lit(None).cast("array<string>").alias("stack")), "key").unionByName(
-        opened.select(F.col("prefix").alias("key"), F.lit(0).alias("turn"), "stack", "part")
+    events = keys.select("key", F.lit(1).alias("turn"), F.lit(None).cast("array<string>").alias("stack")).unionByName(
+        opened.select(F.col("prefix").alias("key"), F.lit(0).alias("turn"), "stack")
     )
+    # which range a key is in depends on a sample, so it is written down once
+    dealt = stage_table(events.repartitionByRange("key").withColumn("part", F.spark_partition_id()))
+    last_of_part = dealt.groupBy("part").agg(F.max_by("stack", F.when(F.col("turn") == 0, F.col("key"))).alias("stack"))
+    upto = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
+    before = last_of_part.select("part", F.last("stack", ignorenulls=True).over(upto).alias("carried"))
     sweep = Window.partitionBy("part").orderBy("key", "turn").rowsBetween(Window.unboundedPreceding, 0)
-    swept = events.withColumn("stack", F.last("stack", ignorenulls=True).over(sweep)).where("turn = 1")
-    swept = swept.join(F.broadcast(before), "part", "left")  # SPLITTERS + 1 rows
+    swept = dealt.withColumn("stack", F.last("stack", ignorenulls=True).over(sweep)).where("turn = 1")
+    swept = swept.join(F.broadcast(before), "part", "left")  # a row per range
     stack = F.coalesce("stack", "carried", F.expr("cast(array() as array<string>)"))
     return swept.select("key", F.filter(stack, lambda p: F.startswith(F.col("key"), p)).alias("stack")).where(F.size("stack") > 0)
 
