@@ -35,7 +35,7 @@ FROM parts LEFT JOIN (SELECT * FROM fits WHERE place = 1) USING (row_no)
 
 
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_scan.scan_licenses(_table(spark, sf_dir, "documents")).drop("permissive")
+    return license_scan.scan_licenses(_table(spark, sf_dir, "documents"))
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
