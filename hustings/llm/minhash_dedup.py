@@ -10,7 +10,8 @@ shares no bucket with a probability below MISS.
 1. Documents with equal sets are one class, known by its smallest identifier;
    copies are never paired. Classes are banded; buckets give edges to their
    smallest class only, and the components of these edges are the blocks.
-   Two classes that share a bucket are in one block.
+   Two classes that share a bucket are in one block. ROWS keeps unlike texts of one
+   template apart: at a similarity of 0.5 two share a bucket with a probability of 0.2.
 2. Within blocks, links are confirmed on the full sets. A block is dealt into
    cells of about CELL classes or CELL_SHINGLES shingles, and each pair of cells is
    a task's group of bounded size; nearly every block is a single cell. A task
@@ -26,7 +27,8 @@ Defined cases: white space separates words, A-Z are lower-cased; a document with
 fewer words than a shingle has its whole word sequence as its only shingle; one
 without words, or with a null text, has no shingles and links with nothing; one
 with a null identifier links with nothing and stays; rows with the same identifier are one
-node with all their links; repeated rows and exact copies are linked.
+node with all their links; repeated rows and exact copies are linked. Identifiers may be of any
+ordered type. A text of any length is hashed whole, with about thirty times its bytes.
 """
 
 from __future__ import annotations
@@ -44,7 +46,7 @@ from hustings.llm._spark import grouped, map_arrow, stage_table
 from hustings.llm._text import U64
 from hustings.llm.components import connected_components
 
-ROWS, MISS = 5, 1e-8
+ROWS, MISS = 8, 1e-8
 #: Classes and shingles of one cell of a block.
 CELL, CELL_SHINGLES = 1024, 1 << 20
 _SALT = [U64(0x9E3779B97F4A7C15 * (k + 1) % (1 << 64) | 1) for k in range(64)]
@@ -178,7 +180,9 @@ def _confirm(width: int, percent: int):
 
     def over(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
+        kind = pa.int64()
         for (_, one, two), table in grouped(batches, ["block", "one", "two"]):
+            kind = table.schema.field("id").type
             (ids, sets), (ids2, sets2) = cells(table)
             if one == two:
                 if len(ids) < 2:
@@ -196,17 +200,17 @@ def _confirm(width: int, percent: int):
             degree = np.bincount(np.concatenate([a, b]), minlength=len(names)) if len(a) else np.zeros(0, int)
             out += [(names[i], None, int(degree[i])) for i in np.flatnonzero(degree)]
             if len(out) > 10_000:
-                yield _rows(out)
+                yield _rows(out, kind)
                 out = []
         if out:
-            yield _rows(out)
+            yield _rows(out, kind)
 
     return over
 
 
-def _rows(out: list[tuple]) -> pa.RecordBatch:
+def _rows(out: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
     u, v, n = zip(*out, strict=True)
-    return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64()), pa.array(n, pa.int64())], ["u", "v", "n"])
+    return pa.RecordBatch.from_arrays([pa.array(u, kind), pa.array(v, kind), pa.array(n, pa.int64())], ["u", "v", "n"])
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
@@ -214,7 +218,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     its class links with), component_id and kept."""
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     bands = band_count(percent / 100)
-    sketches = stage_table(map_arrow(slim, _sketch(width, bands), "id long, n long, low long, high long, keys array<long>"))
+    kind = docs.schema[id_col].dataType.simpleString()
+    sketches = stage_table(map_arrow(slim, _sketch(width, bands), f"id {kind}, n long, low long, high long, keys array<long>"))
     sketched = sketches.where("n > 0 and id is not null")
     same = ["n", "low", "high"]
     classes = stage_table(sketched.groupBy(*same).agg(F.min("id").alias("rep")))  # read from a table, a join with it can be split
@@ -239,7 +244,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.when(F.col("cell") <= F.col("other"), 0).otherwise(1).alias("side"), "id", "text",
     )
     by = ["block", "one", "two"]
-    confirmed = stage_table(pairs.repartition(*by).sortWithinPartitions(*by).mapInArrow(_confirm(width, percent), "u long, v long, n long"))
+    confirmed = stage_table(pairs.repartition(*by).sortWithinPartitions(*by).mapInArrow(_confirm(width, percent), f"u {kind}, v {kind}, n long"))
 
     # documents of one class are linked, and so are the classes of one document
     edges = confirmed.where("v is not null").select("u", "v").unionByName(members.where("id <> rep").select(F.col("id").alias("u"), F.col("rep").alias("v")))
