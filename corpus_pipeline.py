@@ -4,6 +4,9 @@ toxicity drops what the classifier rejects; exact dedup keeps one row of each te
 dedup keeps one document of each group of near copies (five-word shingles, similarity
 0.8); mixing repeats or leaves out documents until each source has its share; BPE adds
 the token ids. All stages but the last return the columns of documents.
+
+Null texts count as empty, null identifiers and sources as values of their own, rows may repeat,
+tables may be empty and texts of any length: the operators say what each case gives.
 """
 
 from __future__ import annotations
@@ -58,11 +61,21 @@ STAGES: list[tuple[str, Stage]] = [
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; each is written to the shared folder and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        path = f"{shared_dir(spark)}/corpus-{uuid.uuid4().hex}/{name.replace(' ', '-')}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+def run(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
+    """All stages over documents; each is written and read again.
+
+    folder: where the stages lie, kept and used again: a run that broke off goes on behind its last whole stage. Without one
+    they lie in the shared folder, and each goes when the next one is written.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    top = folder or f"{shared_dir(spark)}/corpus-{uuid.uuid4().hex}"
+    for k, (name, stage) in enumerate(STAGES):
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{top}/{k}-{name.replace(' ', '-')}")
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        if not files.exists(spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")):
+            stage(spark, docs, sf_dir).write.mode("overwrite").parquet(path.toString())
+        docs = spark.read.parquet(path.toString())
+        if before is not None and not folder:
+            files.delete(before, True)
+        before = path
     return docs

@@ -12,7 +12,8 @@ first round and FAN in each later one, never one large group.
 Defined cases: a null text counts as empty; a null identifier is the smallest;
 rows with the same identifier and text are one document stored twice, and all of
 them carry kept = true in the flags while keep_one returns one of them; an empty
-table gives an empty table; further columns play no part.
+table gives an empty table; further columns play no part. Identifiers may be of any
+ordered type; of a text of any length only its digests are exchanged.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from hustings.llm._spark import stage_table
 
-RUNS, FAN = 64, 8
+RUNS, FAN = 64, 4
 _TEXT = ["__digest", "__bytes", "__check"]
 
 
@@ -67,7 +68,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     """The rows of docs that stay, one of each text, with the columns of docs."""
     groups = stage_table(merge_runs(_digests(docs, id_col, text_col), largest)).withColumnRenamed("__keep", "__id")
     keys = [*_TEXT, "__null", "__id0"]
-    null_safe = lambda df, c: df.withColumns({"__null": F.col(c).isNull(), "__id0": F.coalesce(F.col(c), F.lit(0))})
+    null_safe = lambda df, c: df.withColumns({"__null": F.col(c).isNull(), "__id0": F.coalesce(F.col(c).cast("string"), F.lit(""))})
     rows = null_safe(docs.withColumns(dict(zip(_TEXT, digest_columns(text_col), strict=True))), id_col)
     rows = rows.join(null_safe(groups, "__id").select(*keys), keys, "left_semi")
     if groups.where("__alike > 1").limit(1).count():  # a document stored twice
