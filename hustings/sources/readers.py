@@ -114,3 +114,39 @@ def gml_members(xml: Column) -> Column:
 def discover(spark: SparkSession, prefix: str) -> dict[str, DataFrame]:
     """Catalog tables whose names begin with a prefix, by the rest of the name."""
     return {t.name.removeprefix(prefix): spark.table(t.name) for t in spark.catalog.listTables(pattern=f"{prefix}*")}
+
+
+def discovered_union(spark: SparkSession, prefix: str, members: dict[str, list[str]]) -> DataFrame:
+    """All tables of a prefix as one, with mesto (the rest of the name); a table named in members stands for those, which are left out."""
+    from functools import reduce
+
+    tables = discover(spark, prefix)
+    hidden = {part for whole, parts in members.items() if whole in tables for part in parts}
+    tagged = [df.withColumn("mesto", F.lit(name)) for name, df in sorted(tables.items()) if name not in hidden]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
+
+
+def pages_of(answers: DataFrame, per_page: int = 5000) -> DataFrame:
+    """page, expected, members: the answers of a paged service (page, body) up to its first empty page; expected is the number that it announced."""
+    told = F.nullif(F.regexp_extract("body", 'numberMatched="([0-9]+)"', 1), F.lit("")).try_cast("long")
+    size = F.size(F.regexp_extract_all("body", F.lit("<wfs:member>"), F.lit(0)))
+    read = answers.select("page", told.alias("expected"), size.alias("members"))
+    from pyspark.sql.window import Window
+
+    before = Window.orderBy("page").rowsBetween(Window.unboundedPreceding, 0)  # a row per page of one query
+    return read.withColumn("__empty", F.max((F.col("members") == 0).cast("int")).over(before)).where("__empty = 0").drop("__empty").where(F.col("page") <= F.ceil(F.coalesce("expected", F.lit(2**40)) / per_page))
+
+
+def rings(coordinates: Column, geom_type: Column) -> Column:
+    """The outer rings of a GeoJSON polygon or polygons, as arrays of (x, y) without the closing point; null for other shapes."""
+    to_ring = lambda r: F.transform(F.slice(r, 1, F.greatest(F.size(r) - 1, F.lit(0))), lambda p: F.struct(p[0].alias("x"), p[1].alias("y")))
+    one = F.from_json(coordinates, "array<array<array<double>>>")
+    many = F.from_json(coordinates, "array<array<array<array<double>>>>")
+    return F.when(geom_type == "Polygon", F.array(to_ring(one[0]))).when(geom_type == "MultiPolygon", F.transform(many, lambda polygon: to_ring(polygon[0])))
+
+
+def whole_area_rules(streets: DataFrame, carried: DataFrame, single: DataFrame) -> DataFrame:
+    """mcnorm, okrsok, street: every street of areas with one precinct (single: mcnorm, okrsok), from the register, or carried over where it has none."""
+    known = streets.select("mcnorm", "street").distinct().join(single, "mcnorm")
+    kept = carried.select("mcnorm", "street").join(known.select("mcnorm").distinct(), "mcnorm", "left_anti").join(single, "mcnorm")
+    return known.unionByName(kept).select("mcnorm", "okrsok", "street")

@@ -33,3 +33,8 @@ def snapshot(df: DataFrame, root: str, name: str, version: str) -> str:
     path = f"{root}/{name}/version={version}"
     df.write.mode("errorifexists").parquet(path)
     return path
+
+
+def point_table(points: DataFrame, path: str) -> None:
+    """A layer of points as a table; without points an empty one takes the place of what was there."""
+    points.write.mode("overwrite").parquet(path)
