@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hustings.llm import _text
-from hustings.llm._spark import grouped, map_arrow, stage_table
+from hustings.llm._spark import drop_table, grouped, map_arrow, stage_table
 from hustings.llm._text import U64
 from hustings.llm.components import connected_components
 
@@ -246,9 +246,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     by = ["block", "one", "two"]
     confirmed = stage_table(pairs.repartition(*by).sortWithinPartitions(*by).mapInArrow(_confirm(width, percent), f"u {kind}, v {kind}, n long"))
 
+    for done in (blocks, wide):
+        drop_table(done)
     # documents of one class are linked, and so are the classes of one document
     edges = confirmed.where("v is not null").select("u", "v").unionByName(members.where("id <> rep").select(F.col("id").alias("u"), F.col("rep").alias("v")))
     components = connected_components(edges, "u", "v").select(F.col("node").alias("id"), "component")
+    drop_table(members)
     degree = confirmed.where("v is null").groupBy(F.col("u").alias("rep")).agg(F.sum("n").alias("links"))
     listed = sketches.select("id", *same).join(classes, same, "left").withColumn("rep", F.when(F.col("id").isNotNull(), F.col("rep")))
     found = listed.join(degree, "rep", "left").join(components, "id", "left").withColumn("component", F.coalesce("component", "id"))

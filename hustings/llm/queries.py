@@ -61,19 +61,22 @@ FROM f JOIN dom ON dom.source IS NOT DISTINCT FROM f.source, s
 
 def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash_dedup.near_duplicates(_table(spark, sf_dir, "documents"), width=3, percent=85)
-    return found.select("doc_id", "n_shingles", "component_id", "kept")
+    return found.select("doc_id", "n_shingles", "component_id", "kept", "class_id", "n_links")
 
 
 OP4 = r"""
 WITH RECURSIVE d AS (SELECT row_number() OVER () AS rn, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
 sh AS (SELECT DISTINCT rn, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s FROM d),
-n AS (SELECT rn, doc_id, count(s) AS n FROM d LEFT JOIN sh USING (rn) GROUP BY rn, doc_id),
+m AS (SELECT rn, doc_id, count(s) AS n, list_sort(list(s) FILTER (s IS NOT NULL)) AS full_set FROM d LEFT JOIN sh USING (rn) GROUP BY rn, doc_id),
+n AS (SELECT rn, doc_id, n, CASE WHEN n = 0 THEN doc_id ELSE min(doc_id) OVER (PARTITION BY full_set) END AS class_id FROM m),
 both_have AS (SELECT a.rn AS x, b.rn AS y, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.rn < b.rn GROUP BY ALL),
-link AS (SELECT a.doc_id AS u, b.doc_id AS v FROM both_have JOIN n a ON a.rn = x JOIN n b ON b.rn = y WHERE 100 * c >= 85 * (a.n + b.n - c)),
+link AS (SELECT a.doc_id AS u, b.doc_id AS v, a.class_id AS cu, b.class_id AS cv FROM both_have JOIN n a ON a.rn = x JOIN n b ON b.rn = y WHERE 100 * c >= 85 * (a.n + b.n - c)),
 edge AS (SELECT u, v FROM link UNION SELECT v, u FROM link),
 reach AS (SELECT DISTINCT doc_id AS node, doc_id AS seen FROM documents UNION SELECT r.node, e.v FROM reach r JOIN edge e ON e.u = r.seen),
-least_seen AS (SELECT node, min(seen) AS component_id FROM reach GROUP BY node)
-SELECT n.doc_id, n.n AS n_shingles, component_id, n.doc_id = component_id AS kept FROM n JOIN least_seen ON node = n.doc_id
+least_seen AS (SELECT node, min(seen) AS component_id FROM reach GROUP BY node),
+degree AS (SELECT c, count(DISTINCT o) AS n_links FROM (SELECT cu AS c, cv AS o FROM link UNION ALL SELECT cv, cu FROM link) WHERE c <> o GROUP BY c)
+SELECT n.doc_id, n.n AS n_shingles, component_id, n.doc_id = component_id AS kept, class_id, coalesce(n_links, 0) AS n_links
+FROM n JOIN least_seen ON node = n.doc_id LEFT JOIN degree ON c = class_id
 """
 
 
