@@ -15,7 +15,9 @@ for invalid bytes.
 
 The vocabulary file is read on the driver and shipped to the workers; its path is
 a parameter. Defined cases: a null text is empty and has no tokens; a special
-token's string in a text is that token; repeated rows are encoded alike.
+token's string in a text is that token; repeated rows are encoded alike. Texts are handed
+on in groups of GROUP_CHARS characters; a longer one is encoded alone, with about
+a hundred times its bytes where its pieces are new.
 """
 
 from __future__ import annotations
@@ -24,17 +26,19 @@ import hashlib
 import heapq
 import json
 from collections import defaultdict
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
 from hustings.llm._spark import map_arrow
 
-#: Pieces that a worker remembers, about 200 bytes each; the memo starts afresh when it is full.
-MEMO = 1_000_000
+#: Bytes of pieces and ids that a worker remembers, with about 150 more for each; the memo starts afresh when it is full.
+MEMO_BYTES = 48 << 20
 
 
 def byte_symbols() -> list[str]:
@@ -66,10 +70,11 @@ class ByteBPE:
         self.bytes |= {i: s.encode() for s, i in self.special.items()}
         self.pattern = pattern
         self.memo: dict[str, bytes] = {}
+        self.memo_bytes = 0
         self._compiled = None
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"memo": {}, "_compiled": None}
+        return self.__dict__ | {"memo": {}, "memo_bytes": 0, "_compiled": None}
 
     def _patterns(self):
         if self._compiled is None:
@@ -138,11 +143,12 @@ class ByteBPE:
         for text in texts:
             parts = special.split(text) if special else [text]
             split.append([(part,) if k % 2 else pattern.findall(part) for k, part in enumerate(parts)])
-        if len(self.memo) > MEMO:
-            self.memo = {}
+        if self.memo_bytes > MEMO_BYTES:
+            self.memo, self.memo_bytes = {}, 0
         memo = self.memo
         fresh = list({piece for parts in split for k, part in enumerate(parts) if not k % 2 for piece in part if piece not in memo})
         memo.update(zip(fresh, (x.tobytes() for x in self.encode_pieces(fresh)), strict=True))
+        self.memo_bytes += sum(150 + len(piece) + len(memo[piece]) for piece in fresh)
         marks = {s: int(i).to_bytes(4, "little") for s, i in self.special.items()}
         return [b"".join(b"".join(map(memo.__getitem__ if not k % 2 else marks.__getitem__, part)) for k, part in enumerate(parts)) for parts in split]
 
@@ -155,8 +161,8 @@ def load(path: str, pattern: str) -> ByteBPE:
         return ByteBPE(json.load(file), pattern)
 
 
-#: Texts encoded together, by their characters.
-GROUP_CHARS = 2_000_000
+#: Characters of the texts that are encoded, and handed on, together; a longer text is alone.
+GROUP_CHARS = 1_000_000
 
 
 def _shipped(docs: DataFrame, tokenizer: ByteBPE):
@@ -165,12 +171,21 @@ def _shipped(docs: DataFrame, tokenizer: ByteBPE):
 
 def _encoded(column: pa.Array, bpe: ByteBPE):
     texts = [t or "" for t in column.to_pylist()]
-    start = chars = 0
-    for i, text in enumerate(texts):
-        chars += len(text)
-        if chars >= GROUP_CHARS or i == len(texts) - 1:
-            yield from zip(texts[start : i + 1], bpe.encode_batch(texts[start : i + 1]), strict=True)
-            start, chars = i + 1, 0
+    return zip(texts, bpe.encode_batch(texts), strict=True)
+
+
+def _map_groups(df: DataFrame, place: int, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: StructType | str) -> DataFrame:
+    """function over runs of rows whose texts, in the column at place, have about GROUP_CHARS characters."""
+
+    def over(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            chars = np.cumsum(pc.fill_null(pc.utf8_length(batch.column(place)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+            cuts = [0, *(np.flatnonzero(np.diff(chars // GROUP_CHARS)) + 1).tolist(), batch.num_rows]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                if b > a:
+                    yield function(batch.slice(a, b - a))
+
+    return df.mapInArrow(over, schema)
 
 
 def encode(docs: DataFrame, tokenizer: ByteBPE, text_col: str = "text", out_col: str = "token_ids") -> DataFrame:
@@ -186,7 +201,7 @@ def encode(docs: DataFrame, tokenizer: ByteBPE, text_col: str = "text", out_col:
         return pa.RecordBatch.from_arrays([*batch.columns, lists], [*others, out_col])
 
     schema = StructType([*docs.select(*others).schema, StructField(out_col, ArrayType(IntegerType()))])
-    return map_arrow(docs.select(*others), over, schema)
+    return _map_groups(docs.select(*others), place, over, schema)
 
 
 def encode_checked(docs: DataFrame, tokenizer: ByteBPE, text_col: str = "text", out_col: str = "token_ids") -> DataFrame:
@@ -208,7 +223,7 @@ def encode_checked(docs: DataFrame, tokenizer: ByteBPE, text_col: str = "text",
 
     kinds = (ArrayType(IntegerType()), LongType(), BooleanType())
     schema = StructType([*docs.select(*others).schema, *(StructField(c, k) for c, k in zip(added, kinds, strict=True))])
-    return map_arrow(docs.select(*others), over, schema)
+    return _map_groups(docs.select(*others), place, over, schema)
 
 
 def decode(encoded: DataFrame, tokenizer: ByteBPE, ids_col: str = "token_ids", out_col: str = "decoded") -> DataFrame:
@@ -240,4 +255,4 @@ def round_trip_digests(docs: DataFrame, tokenizer: ByteBPE, id_col: str = "doc_i
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(digests), pa.array(decoded)], [id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return map_arrow(docs.select(id_col, text_col), over, f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return _map_groups(docs.select(id_col, text_col), 1, over, f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
