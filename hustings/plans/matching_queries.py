@@ -13,10 +13,9 @@ from hustings.sources.staging import stage
 
 def rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every nation's document of the same entries, parsed."""
-    entries = spark.createDataFrame([(k, o, e) for k, (o, e) in enumerate(ENTRIES)], "entry int, okrsok int, text string")
     nations = table(spark, sf_dir, "nation").select("n_nationkey", F.concat(F.lit("mc"), F.col("n_nationkey")).alias("mcnorm"))
-    document = entries.groupBy().agg(F.collect_list(F.struct("entry", "okrsok", "text")).alias("lines"))
-    printed = nations.withColumn("one", F.lit(1)).join(document.withColumn("one", F.lit(1)), "one").select("n_nationkey", "mcnorm", F.explode("lines").alias("line"))
+    lines = F.array(*(F.struct(F.lit(k).alias("entry"), F.lit(okrsok).alias("okrsok"), F.lit(text).alias("text")) for k, (okrsok, text) in enumerate(ENTRIES)))
+    printed = nations.select("n_nationkey", "mcnorm", F.explode(lines).alias("line"))
     parsed = printed.withColumn("p", specs.parse_street_spec(F.col("line.text")))
     return parsed.select("mcnorm", "line.okrsok", (F.col("n_nationkey") * 100 + F.col("line.entry")).alias("row_idx"), "p.*")
 
