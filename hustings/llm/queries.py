@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hustings.llm import bpe, exact_dedup, license_scan, minhash_dedup, mixing, pii, quality_rules, suffix_dedup, toxicity, url_filters
+from hustings.llm import bpe, exact_dedup, fill_in_middle, license_scan, minhash_dedup, mixing, pii, quality_rules, resampling, suffix_dedup, token_counts, toxicity, url_filters
 
 #: (host, path, verdict) of the registered URL rules.
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -118,8 +118,52 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_counts.count_tokens(_table(spark, sf_dir, "documents"), token_counts.load(public_tokenizers.path("word_bpe_49k.json")))
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+OP12 = r"""
+WITH tab AS (SELECT list(c ORDER BY i) AS remainder FROM (SELECT i, list_reduce(range(8), lambda a, k: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, i) AS c FROM range(256) r(i))),
+d AS (SELECT row_number() OVER () AS rn, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+dw AS (SELECT rn, unnest(w) AS word FROM d), bw AS (SELECT unnest(w) AS word FROM b),
+spelled AS (SELECT word, hex(word) AS x FROM (SELECT word FROM dw UNION SELECT word FROM bw)),
+v AS (SELECT word, xor(list_reduce(list_transform(range(1, length(x) + 1, 2), lambda k: cast('0x' || substr(x, k, 2) AS bigint)), lambda a, c: xor(a >> 8, remainder[(xor(a, c) & 255) + 1]), 4294967295), 4294967295) % 10000 AS k FROM spelled, tab),
+s AS (SELECT k, count(*) AS n FROM dw JOIN v USING (word) GROUP BY k), t AS (SELECT k, count(*) AS n FROM bw JOIN v USING (word) GROUP BY k),
+g AS (SELECT k, cast(floor(1000 * ln(cast(coalesce(t.n, 0) + 1 AS double) * ((SELECT coalesce(sum(n), 0) FROM s) + 10000) / (cast(coalesce(s.n, 0) + 1 AS double) * ((SELECT coalesce(sum(n), 0) FROM t) + 10000)))) AS bigint) AS gain
+  FROM (SELECT DISTINCT k FROM v) LEFT JOIN s USING (k) LEFT JOIN t USING (k)),
+f AS (SELECT rn, count(*) AS n, cast(floor(cast(sum(gain) AS double) / count(*)) AS bigint) AS weight FROM dw JOIN v USING (word) JOIN g USING (k) GROUP BY rn),
+m AS (SELECT rn, doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight, cast('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS bigint) AS h FROM d LEFT JOIN f USING (rn)),
+p AS (SELECT *, weight + cast(floor(-1000 * ln(-ln((h + 0.5::double) / 4294967296::double))) AS bigint) AS score FROM m),
+r AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place, count(*) FILTER (WHERE n_features >= 20) OVER () AS many FROM p)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= 10 * many // 100 THEN place END AS rank FROM r
+"""
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digests(_table(spark, sf_dir, "documents"))
+
+
+OP13 = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u, sha256('42:' || doc_id) AS x FROM documents),
+h AS (SELECT *, cast(len(u) AS bigint) AS n, [cast('0x' || substr(x, 8 * k + 1, 8) AS bigint) for k in range(4)] AS h FROM d),
+c AS (SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+  CASE WHEN t = '' OR regexp_matches(t, '<[PSM]>') OR h[3] % 100 >= 50 THEN 'plain' WHEN h[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (SELECT *, coalesce(array_to_string(u[1:a], ''), '') AS pre, coalesce(array_to_string(u[a + 1:b], ''), '') AS mid, coalesce(array_to_string(u[b + 1:n], ''), '') AS suf FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN cast(length(pre) AS bigint) END AS prefix_chars, CASE WHEN form <> 'plain' THEN cast(length(mid) AS bigint) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(t) AS restored_sha256 FROM p
+"""
+
+
 _QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     op1_url_filters, op2_license_scan, op3_quality_rules, op4_minhash_dedup, op5_mixing, op6_pii, op7_exact_dedup, op8_suffix_dedup, op9_bpe, op10_toxicity,
+    op11_token_counts, op12_resampling, op13_fill_in_middle,
 ]
 
 
@@ -128,4 +172,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filters": OP1, "op3_quality_rules": OP3, "op4_minhash_dedup": OP4, "op7_exact_dedup": OP7}
+    return {"op1_url_filters": OP1, "op3_quality_rules": OP3, "op4_minhash_dedup": OP4, "op7_exact_dedup": OP7, "op12_resampling": OP12, "op13_fill_in_middle": OP13}
