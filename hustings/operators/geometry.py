@@ -7,6 +7,8 @@ is an expression of Spark.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -79,18 +81,23 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, cell: float, ring
     return found.where(contains(F.col(ring), F.col("x"), F.col("y"))).drop("gx", "gy")
 
 
-def overlaps(polygons: DataFrame, key: str, cell: float, least: float = 1.0, ring: str = "ring") -> DataFrame:
-    """a, b, overlap: pairs of convex polygons (a < b) that share over `least` area. A pair meets in one cell only."""
+def overlaps(polygons: DataFrame, key: str, cell: float, least: float = 1.0, ring: str = "ring", also: list[str] | None = None) -> DataFrame:
+    """a, b, overlap: pairs of convex polygons (a < b) that share over `least` area; overlay.overlaps takes any shapes.
+
+    A pair meets in one cell only. also: columns to give for both, as a_ and b_; pairs with equal ones aren't compared.
+    """
+    also = also or []
     b = bounds(F.col(ring))
-    boxed = polygons.select(F.col(key), F.col(ring), *(c.alias(n) for n, c in b.items()))
+    boxed = polygons.select(F.col(key), F.col(ring), *also, *(c.alias(n) for n, c in b.items()))
     placed = _cells(boxed, F.col("x0"), F.col("x1"), F.col("y0"), F.col("y1"), cell)
-    one, two = (placed.select("gx", "gy", *(F.col(c).alias(f"{s}_{c}") for c in (key, ring, "x0", "x1", "y0", "y1"))) for s in "ab")
+    one, two = (placed.select("gx", "gy", *(F.col(c).alias(f"{s}_{c}") for c in (key, ring, "x0", "x1", "y0", "y1", *also))) for s in "ab")
     apart = (F.col("a_x1") < F.col("b_x0")) | (F.col("b_x1") < F.col("a_x0")) | (F.col("a_y1") < F.col("b_y0")) | (F.col("b_y1") < F.col("a_y0"))
     # the cell of the lower left corner of the common box
     home = (F.col("gx") == F.floor(F.greatest("a_x0", "b_x0") / cell)) & (F.col("gy") == F.floor(F.greatest("a_y0", "b_y0") / cell))
-    pairs = one.join(two, ["gx", "gy"]).where((F.col(f"a_{key}") < F.col(f"b_{key}")) & ~apart & home)
+    other = reduce(lambda p, q: p | q, (F.col(f"a_{c}") != F.col(f"b_{c}") for c in also), F.lit(not also))
+    pairs = one.join(two, ["gx", "gy"]).where((F.col(f"a_{key}") < F.col(f"b_{key}")) & other & ~apart & home)
     window = F.when(signed_area(F.col(f"b_{ring}")) < 0, F.reverse(f"b_{ring}")).otherwise(F.col(f"b_{ring}"))
-    return pairs.withColumn("overlap", area(clip_convex(F.col(f"a_{ring}"), window))).where(F.col("overlap") > least).select(F.col(f"a_{key}").alias("a"), F.col(f"b_{key}").alias("b"), "overlap")
+    return pairs.withColumn("overlap", area(clip_convex(F.col(f"a_{ring}"), window))).where(F.col("overlap") > least).select(F.col(f"a_{key}").alias("a"), F.col(f"b_{key}").alias("b"), "overlap", *(f"{s}_{c}" for c in also for s in "ab"))
 
 
 def _near(points: DataFrame, sites: DataFrame, by: list[str], cell: float) -> DataFrame:
