@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from hustings.functions.text import norm, num_part, street_key
-from hustings.operators import geometry
+from hustings.operators import overlay
 from hustings.operators.documents import split_street_rule
 
 
@@ -95,11 +95,15 @@ def per_address_rules(rows: DataFrame) -> DataFrame:
     return split_street_rule(placed.select("mcnorm", "okrsok", "cell_no", "street", "numspec"))
 
 
-def coverage(parts: DataFrame, boundaries: DataFrame) -> DataFrame:
-    """mcnorm, n, area, covered, gap and spill in hectares: how an area's parts fill its convex boundary, if they don't overlap."""
-    both = parts.select("mcnorm", "ring").join(boundaries.select("mcnorm", F.col("ring").alias("bound")), "mcnorm")
-    inside = geometry.area(geometry.clip_convex(F.col("ring"), F.col("bound")))
-    sums = both.groupBy("mcnorm").agg(F.count("*").alias("n"), F.sum(geometry.area(F.col("ring"))).alias("a"), F.sum(inside).alias("c"))
-    found = sums.join(boundaries.select("mcnorm", geometry.area(F.col("ring")).alias("b")), "mcnorm")
+def coverage(parts: DataFrame, boundaries: DataFrame, cell: float = 1000.0) -> DataFrame:
+    """mcnorm, n, area, covered, gap and spill in hectares: how an area's parts fill its boundary, whatever their shapes.
+
+    parts, boundaries: mcnorm and ring or rings. What several parts hold counts once.
+    """
+    named = lambda df: overlay.with_rings(df).select("mcnorm", "rings", F.monotonically_increasing_id().alias("part"))
+    own = named(parts)
+    areas = overlay.overlay_areas(named(boundaries), own, ["mcnorm"], cell)
+    counts = own.groupBy("mcnorm").agg(F.count("*").alias("n"))
     ha = lambda v: F.round(v / 10_000, 4)
-    return found.select("mcnorm", "n", ha(F.col("b")).alias("area"), ha(F.col("c")).alias("covered"), ha(F.greatest(F.col("b") - F.col("c"), F.lit(0.0))).alias("gap"), ha(F.greatest(F.col("a") - F.col("c"), F.lit(0.0))).alias("spill"))
+    found = counts.join(areas, "mcnorm").where("only_one + both > 0")
+    return found.select("mcnorm", "n", ha(F.col("only_one") + F.col("both")).alias("area"), ha(F.col("both")).alias("covered"), ha(F.col("only_one")).alias("gap"), ha(F.col("only_two")).alias("spill"))

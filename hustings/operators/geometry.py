@@ -109,20 +109,6 @@ def _near(points: DataFrame, sites: DataFrame, by: list[str], cell: float) -> Da
     return found.withColumn("d", F.sqrt((F.col("x") - F.col("sx")) ** 2 + (F.col("y") - F.col("sy")) ** 2))
 
 
-def nearest_site(points: DataFrame, sites: DataFrame, by: list[str], point: str, cell: float) -> DataFrame:
-    """by, point, site, d: the nearest site of each point (sites: by, site, sx, sy), of equally near ones the smallest.
-
-    A site within cell of a point lies in the nine cells around it, so that a nearest one found
-    there at most that far is right. Points without one are compared with all sites of their
-    group: choose cell so that these are few.
-    """
-    best = F.min(F.struct("d", "site")).alias("m")
-    close = _near(points, sites, by, cell).where(F.col("d") <= cell).groupBy(*by, point).agg(best)
-    rest = points.join(close.select(*by, point), [*by, point], "left_anti").join(sites, by)
-    rest = rest.withColumn("d", F.sqrt((F.col("x") - F.col("sx")) ** 2 + (F.col("y") - F.col("sy")) ** 2)).groupBy(*by, point).agg(best)
-    return close.unionByName(rest).select(*by, point, "m.site", "m.d")
-
-
 def within_distance(points: DataFrame, sites: DataFrame, by: list[str], point: str, reach: float) -> DataFrame:
     """by, point: points with a site of their group at most reach away."""
     return _near(points, sites, by, reach).where(F.col("d") <= reach).select(*by, point).distinct()

@@ -137,12 +137,19 @@ def pages_of(answers: DataFrame, per_page: int = 5000) -> DataFrame:
     return read.withColumn("__empty", F.max((F.col("members") == 0).cast("int")).over(before)).where("__empty = 0").drop("__empty").where(F.col("page") <= F.ceil(F.coalesce("expected", F.lit(2**40)) / per_page))
 
 
-def rings(coordinates: Column, geom_type: Column) -> Column:
-    """The outer rings of a GeoJSON polygon or polygons, as arrays of (x, y) without the closing point; null for other shapes."""
+def shapes(coordinates: Column, geom_type: Column) -> Column:
+    """The parts of a GeoJSON polygon or polygons: an array of rings each, the outer one first and then its holes, as (x, y) without the
+    closing point; null for other shapes."""
     to_ring = lambda r: F.transform(F.slice(r, 1, F.greatest(F.size(r) - 1, F.lit(0))), lambda p: F.struct(p[0].alias("x"), p[1].alias("y")))
+    to_rings = lambda polygon: F.transform(polygon, to_ring)
     one = F.from_json(coordinates, "array<array<array<double>>>")
     many = F.from_json(coordinates, "array<array<array<array<double>>>>")
-    return F.when(geom_type == "Polygon", F.array(to_ring(one[0]))).when(geom_type == "MultiPolygon", F.transform(many, lambda polygon: to_ring(polygon[0])))
+    return F.when(geom_type == "Polygon", F.array(to_rings(one))).when(geom_type == "MultiPolygon", F.transform(many, to_rings))
+
+
+def rings(coordinates: Column, geom_type: Column) -> Column:
+    """The outer rings of a polygon's parts; holes are left out, `shapes` keeps them."""
+    return F.transform(shapes(coordinates, geom_type), lambda part: part[0])
 
 
 def whole_area_rules(streets: DataFrame, carried: DataFrame, single: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -35,6 +35,15 @@ def snapshot(df: DataFrame, root: str, name: str, version: str) -> str:
     return path
 
 
-def point_table(points: DataFrame, path: str) -> None:
-    """A layer of points as a table; without points an empty one takes the place of what was there."""
-    points.write.mode("overwrite").parquet(path)
+def polygon_json(shapes: Column, digits: int = 7) -> Column:
+    """The GeoJSON text of an area's parts (arrays of rings, holes after the outer ring), each ring closed; one part is a Polygon."""
+    place = lambda p: F.array(F.round(p["x"], digits), F.round(p["y"], digits))
+    closed = lambda r: F.concat(F.transform(r, place), F.transform(F.slice(r, 1, 1), place))
+    parts = F.transform(shapes, lambda rings: F.transform(rings, closed))
+    one = F.to_json(F.struct(F.lit("Polygon").alias("type"), F.get(parts, F.lit(0)).alias("coordinates")))
+    return F.when(F.size(shapes) == 1, one).otherwise(F.to_json(F.struct(F.lit("MultiPolygon").alias("type"), parts.alias("coordinates"))))
+
+
+def point_table(points: DataFrame, root: str, name: str, version: str) -> str:
+    """A layer of points as a new version of a table, also without points; what was there stays. Returns its path."""
+    return snapshot(points, root, name, version)

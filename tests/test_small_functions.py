@@ -89,9 +89,10 @@ def test_writers(spark, tmp_path):
     feature = json.loads(spark.read.text(f"{tmp_path}/g").first().value)
     assert feature["properties"] == {"ra_id": "1", "okrsok": "7"} and feature["geometry"]["type"] == "Point"
     assert spark.read.parquet(writers.snapshot(points, str(tmp_path), "seeds", "v1")).count() == 1
-    for rows in (points, points.limit(0)):
-        writers.point_table(rows, f"{tmp_path}/points")
-        assert spark.read.parquet(f"{tmp_path}/points").count() == rows.count()
+    for version, rows in enumerate((points, points.limit(0))):
+        path = writers.point_table(rows, str(tmp_path), "points", f"v{version}")
+        assert spark.read.parquet(path).count() == rows.count()
+    assert spark.read.parquet(f"{tmp_path}/points/version=v0").count() == 1
 
 
 def test_changes(spark):
