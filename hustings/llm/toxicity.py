@@ -4,7 +4,8 @@ Words (ASCII letters in lower case, digits, non-ASCII characters) give unigrams,
 bigrams and skip-bigrams with one word between, hashed to 2**BITS indices; a
 document's features are the indices it holds. Training reads at most SAMPLE
 labelled rows, those with the smallest hashes of their identifiers (documented
-bound; the scoring covers everything). Their features are made in parallel, and
+bound; the scoring covers everything), one text of each: of rows with the same identifier the one
+whose text has the smallest hash. Their features are made in parallel, and
 one task runs FTRL-proximal with per-coordinate rates over them, in the order of
 a hash; positive rows count POSITIVE times. L1 keeps a few thousand weights, at
 most 2**BITS, so that the model is small enough to be broadcast by construction.
@@ -12,7 +13,8 @@ most 2**BITS, so that the model is small enough to be broadcast by construction.
 Defined cases: a null text is empty and gets the score of the bias alone; null
 labels and labels without a document don't train; several labels of a document
 count by their largest; without labels every score is next to 0; repeated rows
-are scored alike.
+are scored alike and train as one; an empty table gives no rows and trains nothing; a text of any length is hashed
+in whole, one of over CHUNK_BYTES by itself; extra columns stay out of training and scores.
 """
 
 from __future__ import annotations
@@ -124,6 +126,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     chosen = known.orderBy(F.xxhash64("__id"), "__id").limit(sample)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     rows = texts.join(F.broadcast(chosen), F.col("id") == F.col("__id"))  # sample rows of two numbers
+    # one text of each identifier, however many rows have it; each task keeps one before anything is exchanged
+    rows = rows.groupBy("id", "label").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
     featured = map_arrow(rows.select("id", "label", "text"), _features, "id long, label int, features array<int>")
     ordered = featured.repartition(1).sortWithinPartitions(F.xxhash64("id", F.lit(2)), "id")  # sample rows
     found = {r["index"]: r["weight"] for r in ordered.mapInArrow(_train, "index long, weight double").collect()}  # at most 2**BITS + 1

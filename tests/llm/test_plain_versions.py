@@ -152,3 +152,18 @@ def test_string_identifiers(spark):
     assert sorted(r.doc_id for r in exact_dedup.keep_one(frame).collect()) == ["b", "c"]
     for result in (license_scan.scan_licenses(frame), quality_rules.quality_rules(frame), mixing.mix(frame), pii.find_pii(frame, pii.SemiCRF()), bpe.round_trip_digests(frame, queries.tokenizer())):
         assert {r.doc_id for r in result.collect()} == {"a", "b", "c", None}
+
+
+def test_repeated_rows_train_once(spark):
+    """A model doesn't depend on how often a table holds its rows, also where one identifier has many texts."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    once = toxicity.train(docs, labels, sample=40)
+    hot = docs.selectExpr("doc_id", "text").union(docs).union(docs.where("doc_id % 7 = 1"))
+    again = toxicity.train(hot, labels.union(labels), sample=40)
+    assert once.bias == again.bias and np.array_equal(once.weights, again.weights)
+    assert (once.weights != 0).any()
+    several = spark.createDataFrame([(1, "bad words"), (1, None), (1, "good words"), (4, "fine")], "doc_id long, text string")
+    known = spark.createDataFrame([(1, 1), (4, 0)], "doc_id long, toxic int")
+    turned = toxicity.train(several.orderBy("text"), known)
+    assert np.array_equal(toxicity.train(several, known).weights, turned.weights)
