@@ -78,7 +78,12 @@ def rule_for(points: DataFrame, rules: DataFrame) -> DataFrame:
     r = rules.select("mcnorm", "okrsok", F.col("key").alias("rkey"), "cls", "spec")
     exact = p.join(r, (p["mcnorm"] == r["mcnorm"]) & (p["okrsok"] == r["okrsok"]) & (p["key"] == r["rkey"])).select("ra_id", "cls", "spec")
     left = p.join(exact.select("ra_id").distinct(), "ra_id", "left_anti")
-    loose = left.join(r.withColumnsRenamed({"mcnorm": "rmc", "okrsok": "rokr"}), (F.col("mcnorm") == F.col("rmc")) & (F.col("okrsok") == F.col("rokr"))).where(compatible(F.col("key"), F.col("rkey"))).select("ra_id", "cls", "spec")
+    # keys meet once each, by the initials of their words, which compatible keys have in common
+    initials = lambda k: F.array_join(F.transform(F.split(k, " "), lambda w: F.substring(w, 1, 1)), " ").alias("initials")
+    own = ["mcnorm", "okrsok"]
+    keys = left.select(*own, "key", initials("key")).distinct().join(r.select(*own, "rkey", initials("rkey")).distinct(), [*own, "initials"])
+    pairs = keys.where(compatible(F.col("key"), F.col("rkey"))).select(*own, "key", "rkey")
+    loose = left.join(pairs, [*own, "key"]).join(r, [*own, "rkey"]).select("ra_id", "cls", "spec")
     hits = exact.unionByName(loose).join(points.select("ra_id", "orient"), "ra_id")
     raw, n = F.upper(F.coalesce("orient", F.lit(""))), F.nullif(F.regexp_extract("orient", r"^\s*[0-9]+", 0), F.lit("")).try_cast("int")
     lists = lambda v: F.coalesce((F.col("cls") == "ENUM") & F.exists("spec.singles", lambda s: F.upper(s) == v), F.lit(False))

@@ -60,11 +60,15 @@ def clip_cap_300(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def neighbour_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Points at most 400 from some precinct's site that lie in no precinct of their own area."""
-    points = _points(spark, sf_dir)
-    near = geometry.within_distance(points.withColumn("one", F.lit(1)), sites(spark, sf_dir).withColumn("one", F.lit(1)), ["one"], "ra_id", 400.0)
-    own = geometry.points_in_polygons(points, polygons(spark, sf_dir), CELL).where("home = mcnorm").select("ra_id")
-    return points.join(near.select("ra_id"), "ra_id", "left_semi").join(own, "ra_id", "left_anti").select("ra_id")
+    """Points at most 400 from some precinct of an even site, and more than 5 outside all precincts of odd ones."""
+    shapes = polygons(spark, sf_dir).withColumn("rings", F.array("ring"))
+    return overlay.neighbours(_points(spark, sf_dir), shapes.where("site % 2 = 0"), shapes.where("site % 2 = 1"), "ra_id").select("ra_id")
+
+
+def label_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each bent or pierced shape has its label."""
+    found = _notched(spark, sf_dir).select("site", overlay.label_point(F.col("rings")).alias("p"))
+    return found.select("site", F.round("p.x", 3).alias("x"), F.round("p.y", 3).alias("y"))
 
 
 def isolated_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -196,7 +200,7 @@ def distinct_on(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     pip_join, wrong_side_anti, outside_anti, voronoi_nearest, clip_cap_300, neighbour_semi, isolated_knn, overlap_selfjoin, shoelace_area, dissolve_area, dissolve_rings, voronoi_cells, derive_precincts,
-    overlay_areas, overlap_concave, shape_faults, border_lengths, hausdorff, degree2_vertices, distinct_on,
+    overlay_areas, overlap_concave, shape_faults, border_lengths, label_places, hausdorff, degree2_vertices, distinct_on,
 )}
 
 _BASE = f"WITH a AS ({duck(ADDRESSES, 'customer')}), s AS ({duck(SITES, 'supplier')})"
@@ -228,7 +232,10 @@ ORACLES = {
     "outside_anti": f"{_BASE} SELECT ra_id FROM a WHERE NOT EXISTS (SELECT 1 FROM s WHERE {_IN})",
     "voronoi_nearest": f"{_BASE} SELECT ra_id, site, round(d, 6) AS d FROM (SELECT ra_id, site, {_DIST} AS d, row_number() OVER (PARTITION BY ra_id ORDER BY d, site) AS k FROM a JOIN s USING (mcnorm)) WHERE k = 1",
     "clip_cap_300": f"{_BASE} SELECT ra_id FROM a WHERE EXISTS (SELECT 1 FROM s WHERE s.mcnorm = a.mcnorm AND {_DIST} <= 300)",
-    "neighbour_semi": f"{_BASE} SELECT ra_id FROM a WHERE EXISTS (SELECT 1 FROM s WHERE {_DIST} <= 400) AND NOT EXISTS (SELECT 1 FROM s WHERE s.mcnorm = a.mcnorm AND {_IN})",
+    "neighbour_semi": f"""{_BASE}, n AS (SELECT ra_id, min(CASE WHEN site % 2 = 0 THEN d END) AS near, min(CASE WHEN site % 2 = 1 THEN d END) AS own FROM (SELECT ra_id, site,
+        sqrt(power(greatest(abs(x + y - sx - sy) - r, 0), 2) + power(greatest(abs(x - y - sx + sy) - r, 0), 2)) / sqrt(2) AS d FROM a JOIN s ON true) GROUP BY ra_id)
+      SELECT ra_id FROM n WHERE near <= 400 AND NOT coalesce(own <= 5, false)""",
+    "label_places": f"{_BASE} SELECT site, round(sx - CASE site % 3 WHEN 0 THEN r / 4 WHEN 1 THEN r / 2 ELSE 0 END, 3) AS x, round(sy + CASE site % 3 WHEN 2 THEN r / 2 ELSE r / 4 END, 3) AS y FROM s",
     "isolated_knn": f"{_BASE} SELECT ra_id FROM a WHERE NOT EXISTS (SELECT 1 FROM a b WHERE b.mcnorm = a.mcnorm AND b.ra_id <> a.ra_id AND sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) < 400)",
     "overlap_selfjoin": f"{_BASE}, {_SHARED} SELECT a, b, round(overlap, 3) AS overlap FROM p WHERE overlap > 1",
     "shoelace_area": f"{_BASE} SELECT site, round(2 * r * r, 3) AS area FROM s",
