@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hustings.functions import grid
 from hustings.operators import derive, geometry, overlay, voronoi
 from hustings.plans.adapters import ADDRESSES, addresses, duck, sql, table
 
@@ -71,6 +72,13 @@ def label_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("site", F.round("p.x", 3).alias("x"), F.round("p.y", 3).alias("y"))
 
 
+def national_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Addresses as degrees on the national grid, and back from it through the datum's shift."""
+    places = addresses(spark, sf_dir).select("ra_id", (F.lit(16.8) + F.col("x") / 10007 * 5.75).alias("lon"), (F.lit(47.7) + F.col("y") / 10009 * 1.95).alias("lat"))
+    found = places.withColumns({"g": grid.project(F.col("lon"), F.col("lat")), "m": grid.to_grid(F.col("lon"), F.col("lat"))}).withColumn("b", grid.from_grid(F.col("m.x"), F.col("m.y")))
+    return found.select("ra_id", F.round("g.x", 2).alias("x"), F.round("g.y", 2).alias("y"), F.round("b.x", 6).alias("lon"), F.round("b.y", 6).alias("lat"))
+
+
 def isolated_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Points whose nearest other point of their area is 400 away or more."""
     seeds = addresses(spark, sf_dir).select("mcnorm", "ra_id", "x", "y")
@@ -200,7 +208,7 @@ def distinct_on(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     pip_join, wrong_side_anti, outside_anti, voronoi_nearest, clip_cap_300, neighbour_semi, isolated_knn, overlap_selfjoin, shoelace_area, dissolve_area, dissolve_rings, voronoi_cells, derive_precincts,
-    overlay_areas, overlap_concave, shape_faults, border_lengths, label_places, hausdorff, degree2_vertices, distinct_on,
+    overlay_areas, overlap_concave, shape_faults, border_lengths, label_places, national_grid, hausdorff, degree2_vertices, distinct_on,
 )}
 
 _BASE = f"WITH a AS ({duck(ADDRESSES, 'customer')}), s AS ({duck(SITES, 'supplier')})"
@@ -236,6 +244,14 @@ ORACLES = {
         sqrt(power(greatest(abs(x + y - sx - sy) - r, 0), 2) + power(greatest(abs(x - y - sx + sy) - r, 0), 2)) / sqrt(2) AS d FROM a JOIN s ON true) GROUP BY ra_id)
       SELECT ra_id FROM n WHERE near <= 400 AND NOT coalesce(own <= 5, false)""",
     "label_places": f"{_BASE} SELECT site, round(sx - CASE site % 3 WHEN 0 THEN r / 4 WHEN 1 THEN r / 2 ELSE 0 END, 3) AS x, round(sy + CASE site % 3 WHEN 2 THEN r / 2 ELSE r / 4 END, 3) AS y FROM s",
+    "national_grid": f"""{_BASE}, c AS (SELECT 6377397.155::double AS a, 1 - pow(1 - 1 / 299.1528128::double, 2) AS e2, radians(49.5) AS f, radians(24 + 50 / 60.0::double) AS l, radians(30 + 17 / 60.0::double + 17.30311::double / 3600) AS t, radians(78.5) AS s),
+      k AS (SELECT *, sqrt(e2) AS e, a * sqrt(1 - e2) / (1 - e2 * pow(sin(f), 2)) AS ra, sqrt(1 + e2 * pow(cos(f), 4) / (1 - e2)) AS b, sin(s) AS n FROM c),
+      q AS (SELECT *, tan(pi() / 4 + asin(sin(f) / b) / 2) * pow((1 + e * sin(f)) / (1 - e * sin(f)), e * b / 2) / pow(tan(pi() / 4 + f / 2), b) AS t0, 0.9999 * ra / tan(s) AS r0 FROM k),
+      p AS (SELECT ra_id, 16.8::double + x / 10007 * 5.75::double AS lon, 47.7::double + y / 10009 * 1.95::double AS lat FROM a),
+      u AS (SELECT p.*, q.*, 2 * (atan(t0 * pow(tan(radians(lat) / 2 + pi() / 4), b) / pow((1 + e * sin(radians(lat))) / (1 - e * sin(radians(lat))), e * b / 2)) - pi() / 4) AS u, b * (l - radians(lon)) AS v FROM p, q),
+      d AS (SELECT *, asin(cos(t) * sin(u) + sin(t) * cos(u) * cos(v)) AS w FROM u),
+      o AS (SELECT *, asin(cos(u) * sin(v) / cos(w)) * n AS h, r0 * pow(tan(pi() / 4 + s / 2), n) / pow(tan(w / 2 + pi() / 4), n) AS r FROM d)
+      SELECT ra_id, round(-r * sin(h), 2) AS x, round(-r * cos(h), 2) AS y, round(lon, 6) AS lon, round(lat, 6) AS lat FROM o""",
     "isolated_knn": f"{_BASE} SELECT ra_id FROM a WHERE NOT EXISTS (SELECT 1 FROM a b WHERE b.mcnorm = a.mcnorm AND b.ra_id <> a.ra_id AND sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) < 400)",
     "overlap_selfjoin": f"{_BASE}, {_SHARED} SELECT a, b, round(overlap, 3) AS overlap FROM p WHERE overlap > 1",
     "shoelace_area": f"{_BASE} SELECT site, round(2 * r * r, 3) AS area FROM s",
