@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hustings.plans import audit_queries, document_queries, geometry_queries, label_queries, matching_queries, serving_queries, text_queries
+from hustings.plans import audit_queries, document_queries, geometry_queries, label_queries, list_queries, matching_queries, serving_queries, text_queries
 
-MODULES = [matching_queries, text_queries, document_queries, geometry_queries, serving_queries, label_queries, audit_queries]
+MODULES = [matching_queries, text_queries, document_queries, geometry_queries, serving_queries, label_queries, audit_queries, list_queries]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
