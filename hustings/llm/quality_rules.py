@@ -3,11 +3,14 @@
 Each document gets word, symbol, line and repetition counts in one pass over its
 text, without a shuffle: repeated 5-word windows are found by sorting the hashes
 of a document's windows within its row. The base rules reject single documents.
-Host-level rules then look at whole domains: the documents that fail a rule are
-counted by domain, each domain's rate is shrunk towards the corpus by a beta
-prior, fitted to the domains' rates by moments, and a domain whose shrunk rate is
-over max_rate is distrusted: there, a document that fails any soft rule goes too.
-A few bad pages can't condemn a small domain, and clean documents stay anywhere.
+Host-level rules then look at whole domains: the failures of every rule, base ones
+and soft ones, are counted by domain. Each rule has a beta prior of its own, fitted to
+the domains' rates by moments: what they differ by beyond the noise of their sizes says
+how far a domain may leave the corpus. Where they don't differ beyond noise the prior weighs as
+much as all documents, and every domain has the corpus's rate. A domain whose
+shrunk rate of a rule is over RATIO times the corpus's is distrusted for that rule: a document there
+that fails it goes, and where a base rule is concerned one that fails any soft rule. A
+few bad pages can't condemn a small domain, and clean documents stay anywhere.
 
 The counts, not the texts, are aggregated and joined: a domain with a third of
 all rows is pre-aggregated before the shuffle, and the join of domain verdicts to
@@ -15,12 +18,14 @@ documents is one that Spark broadcasts if the verdicts are small and else splits
 when skewed.
 
 Defined cases: a null text is empty and fails; null domains are one domain; an
-empty table gives an empty table; repeated rows are judged alike.
+empty table gives an empty table; repeated rows are judged alike; a text of any length is
+read whole, its words and windows held as arrays of its row; extra columns play no part.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,8 +33,10 @@ from pyspark.sql import functions as F
 from hustings.llm._spark import stage_table
 
 WINDOW = 5
-#: A domain over this shrunk rate of failing documents is distrusted.
-MAX_RATE = 0.5
+#: A domain over so many times the corpus's rate of a rule, shrunk, is distrusted.
+RATIO = 1.5
+#: Rules in order: the first two are the base ones.
+RULES = ("short", "repeats", "symbols", "dup_lines", "long_words")
 _SPACE = r"[\x20\x09-\x0D]+"
 
 
@@ -82,29 +89,39 @@ def text_metrics(docs: DataFrame, text_col: str) -> DataFrame:
     return counted.drop(text_col).select("*", "__w.*", "__l.*").drop("__w", "__l")
 
 
-def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", domain_col: str = "source", max_rate: float = MAX_RATE) -> DataFrame:
-    """A row per document: identifier, base counts, base_failed, domain_rate (shrunk) and kept."""
-    slim = docs.select(F.col(id_col).alias("__id"), F.col(domain_col).alias("__domain"), F.col(text_col).alias("__raw"))
-    counts = text_metrics(slim, "__raw")
-    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    soft = failed | (10 * F.col("n_symbols") > F.col("n_words")) | (10 * F.col("n_dup_lines") > 3 * F.col("n_lines")) | (F.col("word_chars") > 15 * F.col("n_words"))
-    counts = stage_table(counts.withColumn("base_failed", failed).withColumn("__soft", soft))
+def _strength(mean: float, spread: float, per: float, total: int) -> float:
+    """How many documents a rule's prior weighs: by moments, at least 1 and at most all."""
+    noise = mean * (1 - mean)
+    between = spread - noise * per
+    return min(max(noise / between - 1, 1.0), float(total)) if between > 0 else float(total)
 
-    domains = stage_table(
-        counts.groupBy("__domain").agg(F.count("*").alias("n"), F.sum(F.col("base_failed").cast("long")).alias("k"))
-    )
-    # beta prior by moments over the domains' rates
-    rate = F.col("k") / F.col("n")
-    prior = domains.agg(
-        (F.sum("k") / F.sum("n")).alias("mean"), F.var_samp(rate).alias("spread"), F.avg(1 / F.col("n")).alias("per")
-    ).first()
-    mean = min(max(prior["mean"] or 0.0, 1e-6), 1 - 1e-6)
-    noise = mean * (1 - mean) * (prior["per"] or 0.0)
-    between = max((prior["spread"] or 0.0) - noise, 1e-6)
-    strength = min(max(mean * (1 - mean) / between - 1, 1.0), 1e6)
-    verdicts = domains.select("__domain", ((F.col("k") + mean * strength) / (F.col("n") + strength)).alias("domain_rate"))
-    joined = counts.join(verdicts.withColumnRenamed("__domain", "__of"), F.col("__domain").eqNullSafe(F.col("__of")))
+
+def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", domain_col: str = "source", ratio: float = RATIO) -> DataFrame:
+    """A row per document: identifier, base counts, base_failed, domain_rates (shrunk, by rule) and kept."""
+    slim = docs.select(F.col(id_col).alias("__id"), F.col(domain_col).alias("__domain"), F.col(text_col).alias("__raw"))
+    n_words = F.col("n_words")
+    fails = [
+        n_words < 10, 100 * F.col("n_repeat_words") > 20 * n_words, 10 * F.col("n_symbols") > n_words, 10 * F.col("n_dup_lines") > 3 * F.col("n_lines"), F.col("word_chars") > 15 * n_words,
+    ]
+    counts = stage_table(text_metrics(slim, "__raw").withColumn("__fails", F.array(*fails)))
+
+    failing = [F.sum(F.col("__fails")[i].cast("long")).alias(rule) for i, rule in enumerate(RULES)]
+    domains = stage_table(counts.groupBy("__domain").agg(F.count("*").alias("n"), *failing))
+    # beta priors by moments over the domains' rates
+    rate = lambda rule: F.col(rule) / F.col("n")
+    moments = [m for rule in RULES for m in ((F.sum(rule) / F.sum("n")).alias(f"{rule}_mean"), F.var_samp(rate(rule)).alias(f"{rule}_spread"))]
+    prior = domains.agg(F.sum("n").alias("total"), F.avg(1 / F.col("n")).alias("per"), *moments).first()
+    shrunk, distrusted = [], []
+    for rule in RULES:
+        mean = prior[f"{rule}_mean"] or 0.0
+        strength = _strength(mean, prior[f"{rule}_spread"] or 0.0, prior["per"] or 0.0, prior["total"] or 1)
+        shrunk.append((F.col(rule) + mean * strength) / (F.col("n") + strength))
+        distrusted.append(shrunk[-1] > ratio * mean)
+    verdicts = domains.select(F.col("__domain").alias("__of"), F.struct(*(v.alias(r) for v, r in zip(shrunk, RULES, strict=True))).alias("domain_rates"), F.array(*distrusted).alias("__bad"))
+    joined = counts.join(verdicts, F.col("__domain").eqNullSafe(F.col("__of")))
+    failed, bad = (lambda i: F.col("__fails")[i]), (lambda i: F.col("__bad")[i])
+    base_failed = failed(0) | failed(1)
+    goes = reduce(lambda a, b: a | b, (failed(i) & (bad(0) | bad(1) | bad(i)) for i in range(2, len(RULES))))
     return joined.select(
-        F.col("__id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "domain_rate",
-        (~F.col("base_failed") & ~((F.col("domain_rate") > max_rate) & F.col("__soft"))).alias("kept"),
+        F.col("__id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base_failed.alias("base_failed"), "domain_rates", (~base_failed & ~goes).alias("kept"),
     )

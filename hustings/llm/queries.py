@@ -39,7 +39,7 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.quality_rules(_table(spark, sf_dir, "documents")).drop("domain_rate")
+    return quality_rules.quality_rules(_table(spark, sf_dir, "documents")).drop("domain_rates")
 
 
 OP3 = r"""
@@ -49,13 +49,14 @@ windows AS (SELECT rn, i, count(*) OVER (PARTITION BY rn, w[i], w[i + 1], w[i +
 repeated AS (SELECT rn, count(DISTINCT i + k) AS n FROM windows, range(5) t(k) WHERE n > 1 GROUP BY rn),
 m AS (SELECT doc_id, source, cast(len(w) AS bigint) AS n_words, cast(length(array_to_string(w, '')) AS bigint) AS word_chars, cast(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS bigint) AS n_symbols,
   cast(len(l) - len(list_distinct(l)) AS bigint) AS n_dup_lines, len(l) AS n_lines, coalesce(r.n, 0) AS n_repeat_words FROM d LEFT JOIN repeated r USING (rn)),
-f AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m),
-dom AS (SELECT source, count(*) AS n, count(*) FILTER (WHERE base_failed) AS k FROM f GROUP BY source),
-prior AS (SELECT least(greatest(sum(k) / sum(n), 1e-6), 1 - 1e-6) AS mean, coalesce(var_samp(k / n), 0) AS spread, avg(1 / n) AS per FROM dom),
-s AS (SELECT mean, least(greatest(mean * (1 - mean) / greatest(spread - mean * (1 - mean) * per, 1e-6) - 1, 1), 1e6) AS strength FROM prior)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND NOT ((k + mean * strength) / (n + strength) > 0.5 AND (10 * n_symbols > n_words OR 10 * n_dup_lines > 3 * n_lines OR word_chars > 15 * n_words)) AS kept
-FROM f JOIN dom ON dom.source IS NOT DISTINCT FROM f.source, s
+f AS (SELECT *, [n_words < 10, 100 * n_repeat_words > 20 * n_words, 10 * n_symbols > n_words, 10 * n_dup_lines > 3 * n_lines, word_chars > 15 * n_words] AS fails FROM m),
+dom AS (SELECT source, i, count(*) AS n, count(*) FILTER (WHERE fails[i]) AS k FROM f, range(1, 6) r(i) GROUP BY source, i),
+prior AS (SELECT i, sum(k) / sum(n) AS mean, coalesce(var_samp(k / n), 0) AS spread, avg(1 / n) AS per, sum(n) AS total FROM dom GROUP BY i),
+s AS (SELECT i, mean, CASE WHEN spread - mean * (1 - mean) * per > 0 THEN least(greatest(mean * (1 - mean) / (spread - mean * (1 - mean) * per) - 1, 1), total) ELSE total END AS strength FROM prior),
+bad AS (SELECT source, coalesce(list(i) FILTER (WHERE (k + mean * strength) / (n + strength) > 1.5 * mean), []) AS rules FROM dom JOIN s USING (i) GROUP BY source)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fails[1] OR fails[2] AS base_failed,
+  NOT (fails[1] OR fails[2]) AND NOT (fails[3] AND list_has_any(rules, [1, 2, 3]) OR fails[4] AND list_has_any(rules, [1, 2, 4]) OR fails[5] AND list_has_any(rules, [1, 2, 5])) AS kept
+FROM f JOIN bad ON bad.source IS NOT DISTINCT FROM f.source
 """
 
 

@@ -92,5 +92,23 @@ def test_distrusted_domain(spark):
     clean = " ".join(f"clean{i}" for i in range(40))
     rows = [(i, "too short", "spam") for i in range(90)] + [(i, f"{clean} x{i}", "spam") for i in range(100, 105)]
     rows += [(i, f"{clean} y{i} " + "# " * 8, "spam") for i in range(110, 112)] + [(i, f"{clean} z{i} " + "# " * 8, f"good{i % 4}") for i in range(200, 260)]
+    rows += [(i, f"{clean} c{i}", f"good{i % 4}") for i in range(300, 600)]
     got = {r.doc_id: r.kept for r in quality_rules.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
-    assert all(got[i] for i in [*range(100, 105), *range(200, 260)]) and not got[110] and not got[111]
+    assert all(got[i] for i in [*range(100, 105), *range(200, 260), *range(300, 600)]) and not got[110] and not got[111]
+
+
+def test_each_rule_has_its_own_prior(spark):
+    """A host that stands out in one rule is distrusted for that one; without differences beyond noise none is."""
+    clean, marks = " ".join(f"clean{i}" for i in range(40)), "# " * 8
+    lines = "\n".join(["once more"] * 30 + [" ".join(f"u{i}" for i in range(120))])
+    rows = [(k, f"{clean} {k} {marks}" if k % 100 < bad else f"{clean} {k}", f"h{k // 100}") for bad, hosts in ((5, range(9)), (80, range(9, 10))) for h in hosts for k in range(100 * h, 100 * h + 100)]
+    rows += [(5000 + h, lines, f"h{h}") for h in range(10)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = {r.doc_id: r for r in quality_rules.quality_rules(frame).collect()}
+    lost = {i for i, r in found.items() if not r.kept and not r.base_failed}
+    assert lost == {k for k in range(900, 980)}
+    assert found[950].domain_rates.symbols > 0.7 and abs(found[10].domain_rates.symbols - 0.05) < 0.01
+    even = spark.createDataFrame([(k, f"{clean} {k} {marks}" if k % 10 == 0 else f"{clean} {k}", f"h{k % 7}") for k in range(700)], "doc_id long, text string, source string")
+    again = quality_rules.quality_rules(even).collect()
+    assert all(r.kept for r in again) and len({round(r.domain_rates.symbols, 12) for r in again}) <= 7
+    assert quality_rules._strength(0.1, 0.0, 0.01, 700) == 700.0
