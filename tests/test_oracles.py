@@ -12,7 +12,7 @@ from hustings.plans import registry
 
 SMALL = "/root/testdata/sf0.001"
 #: These have no rows on the smallest tables.
-LARGER = dict.fromkeys(("clip_cap_300", "degree2_vertices", "overlap_seeds", "overlap_selfjoin"), "/root/testdata/sf0.01")
+LARGER = dict.fromkeys(("clip_cap_300", "degree2_vertices", "overlap_concave", "overlap_seeds", "overlap_selfjoin"), "/root/testdata/sf0.01")
 
 
 def plain(v):
