@@ -19,8 +19,10 @@ not white space. Source weights cycle through WEIGHTS in code point order, null
 last.
 
 Defined cases: a null text has size 0; documents of size 0 are taken 0 words;
-null is a source of its own; repeated rows have the same key and are taken in
-one order or the other with the same outcome; an empty table gives an empty one.
+null is a source of its own; repeated rows (same identifier and text) have the same key and
+are all taken alike, so that where the cut falls on one that is stored k times, its source
+misses its target by up to k - 1 times its size; an empty table gives an empty one; a text of
+any length is counted whole in its own row; extra columns play no part.
 """
 
 from __future__ import annotations

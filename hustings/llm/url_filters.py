@@ -21,7 +21,8 @@ the longer host, of equal rules "block". Without a rule the verdict is default.
 
 Defined cases: a null url or one without "://" has empty host and path and gets
 the default; a url listed twice is two rows; rules listed twice count once; no
-rules at all gives the default everywhere; an empty table gives an empty table.
+rules at all gives the default everywhere; an empty table gives an empty table; a url
+of any length is cut and compared whole, as a key of the sweep; extra columns play no part.
 """
 
 from __future__ import annotations
