@@ -19,9 +19,9 @@ SELECT concat('SK', cast(s_nationkey AS varchar(3))) AS obec_code, concat('Čas
 FROM {lineitem}, {supplier} WHERE l_suppkey = s_suppkey AND s_nationkey % 6 <> 0 GROUP BY s_nationkey, l_suppkey
 """
 ANSWERS = """
-SELECT concat('SK', cast(s_nationkey AS varchar(3))) AS obec_code, l_suppkey AS okrsok, CASE l_returnflag WHEN 'A' THEN '1' ELSE '2' END AS otazka, cast(sum(CASE WHEN l_linenumber <= 3 THEN 1 ELSE 0 END) AS varchar(20)) AS ano,
+SELECT concat('SK', cast(s_nationkey AS varchar(3))) AS obec_code, l_suppkey AS okrsok, CASE l_returnflag WHEN 'A' THEN '1' WHEN 'R' THEN '2' ELSE '3' END AS otazka, cast(sum(CASE WHEN l_linenumber <= 3 THEN 1 ELSE 0 END) AS varchar(20)) AS ano,
   CASE WHEN l_suppkey % 5 = 0 THEN '' ELSE cast(sum(CASE WHEN l_linenumber > 3 THEN 1 ELSE 0 END) AS varchar(20)) END AS nie, cast(cast(count(*) AS bigint) % 800 / 8e0 AS varchar(20)) AS ano_pct
-FROM {lineitem}, {supplier} WHERE l_suppkey = s_suppkey AND l_returnflag IN ('A', 'R') GROUP BY s_nationkey, l_suppkey, l_returnflag
+FROM {lineitem}, {supplier} WHERE l_suppkey = s_suppkey GROUP BY s_nationkey, l_suppkey, l_returnflag
 """
 
 
