@@ -112,3 +112,26 @@ def test_each_rule_has_its_own_prior(spark):
     again = quality_rules.quality_rules(even).collect()
     assert all(r.kept for r in again) and len({round(r.domain_rates.symbols, 12) for r in again}) <= 7
     assert quality_rules._strength(0.1, 0.0, 0.01, 700) == 700.0
+
+
+def test_exact_dedup_rounds_merge_sorted_runs(spark):
+    """Every round leaves one entry per run and text, a quarter of the runs, and nothing lost; a text of a third of the rows among them."""
+    rows = [(i, "hot" if i % 3 == 0 else f"text {i % 400}") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    digests = exact_dedup._digests(docs, "doc_id", "text")
+    for largest in (True, False):
+        level, runs = exact_dedup.sorted_runs(digests, largest), exact_dedup.RUNS
+        best = max if largest else min
+        while True:
+            got = level.collect()
+            assert len({(r["__run"], r["__digest"]) for r in got}) == len(got)
+            assert {r["__run"] for r in got} <= set(range(runs)) and sum(r["__size"] for r in got) == len(rows)
+            if runs == 1:
+                break
+            level, runs = exact_dedup.merge_round(level, largest), -(-runs // exact_dedup.FAN)
+        of = {}
+        for i, t in rows:
+            of.setdefault(t, []).append(i)
+        assert {(r["__keep"]["__id"], r["__size"]) for r in got} == {(best(ids), len(ids)) for ids in of.values()}
+    plan = exact_dedup.merge_round(exact_dedup.sorted_runs(digests, True), True)._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" not in plan and plan.count("REPARTITION_BY_COL") == 1
