@@ -41,6 +41,48 @@ def snapshot_diff(before: DataFrame, now: DataFrame, key: str, value: str) -> Da
     return b.join(n, key, "full").withColumn("change", change).drop("__b", "__n")
 
 
+def _as_filed(file: DataFrame, order: str | None) -> DataFrame:
+    """ra_id, f_okrsok, f_mcnorm of the address points of a file: first values of merged tags, the last feature of an identifier.
+
+    Points with several identifiers, or none, are left out; an unmatched point has no precinct.
+    """
+    one = file.where(F.col("kind").isin("seed", "unmatched") & (F.coalesce("ra_id", F.lit("")) != "") & ~F.contains(F.col("ra_id").cast("string"), F.lit(";")))
+    first = lambda c: F.split(F.col(c).cast("string"), ";")[0]
+    okrsok = F.when(F.col("kind") == "seed", first("okrsok").try_cast("int"))
+    kept = one.select("ra_id", F.struct(okrsok.alias("f_okrsok"), first("mcnorm").alias("f_mcnorm")).alias("f"), F.col(order).alias("o") if order else F.lit(0).alias("o"))
+    return kept.groupBy("ra_id").agg(F.max_by("f", "o").alias("f")).select("ra_id", "f.*")
+
+
+def diff_against_file(file: DataFrame, seeds: DataFrame, order: str | None = None) -> DataFrame:
+    """seeds that a working file shows otherwise, with change (new: without a precinct; moved: in another), from_okrsok and from_mcnorm (moved only).
+
+    file: ra_id, kind, mcnorm, okrsok and the column `order` in which a later feature of an identifier replaces an earlier
+    one. Seeds that the file lacks, or without an identifier, are ignored.
+    """
+    both = seeds.join(_as_filed(file, order), "ra_id")
+    moved = (F.col("f_okrsok") != F.col("okrsok")) | ~F.col("f_mcnorm").eqNullSafe(F.col("mcnorm"))
+    found = both.withColumn("change", F.when(F.col("f_okrsok").isNull(), "new").when(moved, "moved")).where("change is not null")
+    was = lambda c: F.when(F.col("change") == "moved", F.col(f"f_{c}")).alias(f"from_{c}")
+    return found.select(*seeds.columns, "change", was("okrsok"), was("mcnorm"))
+
+
+def lost_of_file(file: DataFrame, seeds: DataFrame, order: str | None = None) -> DataFrame:
+    """ra_id, okrsok, mcnorm of the points that a working file shows in a precinct and that no seed matches any more."""
+    shown = _as_filed(file, order).where("f_okrsok is not null")
+    return shown.join(seeds.select("ra_id"), "ra_id", "left_anti").select("ra_id", F.col("f_okrsok").alias("okrsok"), F.col("f_mcnorm").alias("mcnorm"))
+
+
+def seed_diff(seeds: DataFrame, before_seeds: DataFrame, before_unmatched: DataFrame) -> DataFrame:
+    """seeds that two snapshots show otherwise: new with the reason it had (was), or moved with from_okrsok and from_mcnorm.
+
+    A point moved only if both precincts, or both areas, are known and differ. A row per pair of rows with the same identifier.
+    """
+    old = before_seeds.select("ra_id", F.col("okrsok").alias("from_okrsok"), F.col("mcnorm").alias("from_mcnorm"))
+    moved = seeds.join(old, "ra_id").where((F.col("okrsok") != F.col("from_okrsok")) | (F.col("mcnorm") != F.col("from_mcnorm")))
+    new = seeds.join(before_unmatched.select("ra_id", F.col("reason").alias("was")), "ra_id").withColumn("change", F.lit("new"))
+    return new.unionByName(moved.withColumn("change", F.lit("moved")), allowMissingColumns=True).select(*seeds.columns, "change", "was", "from_okrsok", "from_mcnorm")
+
+
 def upsert(current: DataFrame, edits: DataFrame, keys: list[str]) -> DataFrame:
     """current with the rows of edits put over those with the same keys, and new ones added; values of edits hold even if null."""
     values = [c for c in current.columns if c not in keys]

@@ -116,17 +116,42 @@ def apply_file_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("ra_id", "kind", F.col("okrsok").cast("int").alias("okrsok"), "reason", "change")
 
 
+#: orders as features of a file edited by hand: merged tags, several identifiers, two features of one identifier; and the seeds of two dates.
+EDITED = """
+SELECT cast(o_orderkey AS varchar(20)) || CASE WHEN o_orderkey % 13 = 0 THEN ';1' ELSE '' END AS ra_id, CASE WHEN o_orderkey % 7 = 0 THEN 'unmatched' WHEN o_orderkey % 17 = 0 THEN 'precinct' ELSE 'seed' END AS kind,
+  CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE concat('mc', cast(o_custkey % 5 AS varchar(3))) END AS mcnorm, concat(cast(o_custkey % 6 AS varchar(3)), CASE WHEN o_orderkey % 9 = 0 THEN ';4' ELSE '' END) AS okrsok, part AS feature_no
+FROM {orders}, (VALUES (0), (1)) t(part) WHERE part = 0 OR o_orderkey % 19 = 0
+"""
+SEEDS = "SELECT cast(o_orderkey AS varchar(20)) AS ra_id, concat('mc', cast((o_custkey + cast(o_orderkey % 23 = 0 AS int)) % 5 AS varchar(3))) AS mcnorm, cast((o_custkey + cast(o_orderkey % 10 = 0 AS int)) % 6 AS int) AS okrsok FROM {orders} WHERE o_orderstatus <> 'P'"
+EARLIER = "SELECT cast(o_orderkey AS varchar(20)) AS ra_id, CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE concat('mc', cast(o_custkey % 5 AS varchar(3))) END AS mcnorm, cast(o_custkey % 6 AS int) AS okrsok FROM {orders} WHERE o_orderkey % 3 > 0"
+FAILED = "SELECT cast(o_orderkey AS varchar(20)) AS ra_id, concat('no-', lower(o_orderstatus)) AS reason FROM {orders} WHERE o_orderkey % 3 = 0"
+
+
+def diff_against_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return changes.diff_against_file(sql(spark, sf_dir, EDITED, "orders"), sql(spark, sf_dir, SEEDS, "orders"), "feature_no")
+
+
+def lost_of_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return changes.lost_of_file(sql(spark, sf_dir, EDITED, "orders"), sql(spark, sf_dir, SEEDS, "orders"), "feature_no")
+
+
+def seed_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return changes.seed_diff(*(sql(spark, sf_dir, text, "orders") for text in (SEEDS, EARLIER, FAILED)))
+
+
 def string_agg_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "supplier").groupBy("s_nationkey").agg(F.expr("listagg(s_name, '; ') within group (order by s_name)").alias("names"))
 
 
 QUERIES = {f.__name__: f for f in (
     results_left_join, results_pivot, vintage_gate, color_ramp, labels_by_mode, override_left_join, exclude_nullsafe, manual_coalesce, union_all_sources, tile_xy,
-    diff_new_moved_lost, upsert_merge, restore_anti, apply_file_changes, string_agg_report,
+    diff_new_moved_lost, upsert_merge, restore_anti, apply_file_changes, diff_against_file, lost_of_file, seed_diff, string_agg_report,
 )}
 
 _A, _O = duck(ADDRESSES, "customer"), duck(OVERRIDES, "customer")
 _MOVED = f"SELECT a.ra_id, CASE WHEN action = 'move' THEN o.x ELSE a.x END AS x, CASE WHEN action = 'move' THEN o.y ELSE a.y END AS y FROM ({_A}) a LEFT JOIN ({_O}) o USING (ra_id) WHERE action IS DISTINCT FROM 'exclude'"
+_FILED = f"""f AS (SELECT ra_id, CASE WHEN kind = 'seed' THEN cast(string_split(okrsok, ';')[1] AS int) END AS okr, mcnorm FROM ({duck(EDITED, "orders")})
+  WHERE kind <> 'precinct' AND ra_id NOT LIKE '%;%' QUALIFY row_number() OVER (PARTITION BY ra_id ORDER BY feature_no DESC) = 1)"""
 _SLUG = "regexp_replace(lower(strip_accents({})), '[^a-z0-9]', '', 'g')"
 _N = "try_cast(nullif({}, '') AS {})"
 _RESULTS = f"""WITH p AS (SELECT *, CASE WHEN mesto IN ('Bratislava', 'Košice') THEN {_SLUG.format("mc")} END AS refkey FROM ({duck(PRECINCTS, "supplier")})), t AS ({duck(TURNOUT, "lineitem", "supplier")}), w AS ({duck(ANSWERS, "lineitem", "supplier")}),
@@ -162,5 +187,12 @@ ORACLES = {
     "apply_file_changes": f"""{MATCHED.rstrip()}, f AS ({duck(FILE, "customer")}) SELECT ra_id, CASE WHEN status = 'ok' THEN 'seed' ELSE 'unmatched' END AS kind, CASE WHEN status = 'ok' THEN m.okrsok::int END AS okrsok,
       CASE WHEN status = 'ok' THEN NULL WHEN kind = 'seed' THEN status ELSE reason END AS reason, CASE WHEN status = 'ok' AND kind = 'seed' AND f.okrsok = m.okrsok THEN 'unchanged' WHEN status = 'ok' AND kind = 'seed' THEN 'moved'
         WHEN status = 'ok' THEN 'new' WHEN kind = 'seed' THEN 'lost' ELSE 'unchanged' END AS change FROM f JOIN matched m USING (ra_id)""",
+    "diff_against_file": f"""WITH {_FILED} SELECT s.ra_id, s.mcnorm, s.okrsok, CASE WHEN f.okr IS NULL THEN 'new' ELSE 'moved' END AS change, f.okr AS from_okrsok, CASE WHEN f.okr IS NOT NULL THEN f.mcnorm END AS from_mcnorm
+      FROM ({duck(SEEDS, "orders")}) s JOIN f USING (ra_id) WHERE f.okr IS NULL OR f.okr <> s.okrsok OR f.mcnorm IS DISTINCT FROM s.mcnorm""",
+    "lost_of_file": f"WITH {_FILED} SELECT ra_id, okr AS okrsok, mcnorm FROM f WHERE okr IS NOT NULL AND ra_id NOT IN (SELECT ra_id FROM ({duck(SEEDS, 'orders')}))",
+    "seed_diff": """SELECT ra_id, 'mc' || m AS mcnorm, k AS okrsok, CASE WHEN id % 3 = 0 THEN 'new' ELSE 'moved' END AS change, CASE WHEN id % 3 = 0 THEN 'no-' || lower(o_orderstatus) END AS was,
+        CASE WHEN id % 3 > 0 THEN c % 6 END AS from_okrsok, CASE WHEN id % 3 > 0 AND id % 11 > 0 THEN 'mc' || c % 5 END AS from_mcnorm
+      FROM (SELECT o_orderkey AS id, o_orderkey::varchar AS ra_id, o_custkey::int AS c, o_orderstatus, (c + CASE WHEN id % 23 = 0 THEN 1 ELSE 0 END) % 5 AS m, (c + CASE WHEN id % 10 = 0 THEN 1 ELSE 0 END) % 6 AS k FROM orders WHERE o_orderstatus <> 'P')
+      WHERE id % 3 = 0 OR id % 10 = 0 OR (id % 23 = 0 AND id % 11 > 0)""",
     "string_agg_report": "SELECT s_nationkey, string_agg(s_name, '; ' ORDER BY s_name) AS names FROM supplier GROUP BY s_nationkey",
 }

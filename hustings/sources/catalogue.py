@@ -96,6 +96,9 @@ TABLES: dict[str, dict[str, Any]] = {
         "mc": "Košice-Juh", "mcnorm": "juh", "expected": 18, "halves": [{"okr": (50, 100), "street": (125, 620)}], "mode": "text", "table_start": r"Územie patriace do volebného",
         "skip": r"^(?:Volebný obvod|Číslo|Územie|Volebná|STAROSTKA|V súlade|okrsku|na sobotu|určuje|volebné okrsky)",
     },
+    "ke_sidlisko_tahanovce": {
+        "mc": "Košice-Sídlisko Ťahanovce", "mcnorm": "sidlisko tahanovce", "expected": 18, "headers": {"okr": r"Okrsok", "street": r"N[áa]zov", "num": r"Orienta"}, "mode": "split", "loose": "register",
+    },
     "ke_sever": {
         "mc": "Košice-Sever", "mcnorm": "sever", "expected": 18, "halves": [{"okr": (60, 105), "street": (105, 600)}], "mode": "text", "anchor_at": "top",
         "skip": r"^(?:VOLEBNÝ|ÚZEMIE|VOLEBNÁ|OZNÁMENIE|Starosta|určuje|volebné okrsky|pre voľby|ktoré sa|dňa |V Košiciach|Košice,|Ing\.|Mgr\.|\d{1,2}\.\d{1,2}\.\d{4})",
@@ -120,7 +123,8 @@ _PATTERNS = ("header", "streets_after", "stop", "skip", "start_after", "end_sect
 
 def settings(source: dict[str, Any]) -> dict[str, Any]:
     """What the engine takes of a source's settings; patterns ignore case."""
-    return {k: f"(?iu){v}" if k in _PATTERNS else v for k, v in source.items() if k not in ("mc", "mcnorm", "expected")}
+    any_case = lambda k, v: {n: f"(?iu){p}" for n, p in v.items()} if k == "headers" else f"(?iu){v}" if k in _PATTERNS else v
+    return {k: any_case(k, v) for k, v in source.items() if k not in ("mc", "mcnorm", "expected")}
 
 
 def _named(rules: DataFrame, source: dict[str, Any]) -> DataFrame:

@@ -56,6 +56,20 @@ def test_centred_table(spark):
     assert sorted((r.okrsok, r.street) for r in got) == [(1, "Gemerská Krivá"), (1, "Jantárová"), (2, "Alejová"), (2, "Milosrdenstva")]
 
 
+def test_columns_by_header_words(spark):
+    """Pages shifted against each other, a street in two precincts, register numbers, a page without a header."""
+    page = lambda dx: [(0, {10 + dx: "REFERENDUM 1. 1."}), (10, {20 + dx: "Okrsok", 90 + dx: "Názov", 250 + dx: "Orientačné"})]
+    first = page(0) + [(20, {100: "Havanská", 200: "1-9 nepárne"}), (30, {22: "1"}), (40, {100: "Čínska", 260: "2"}), (60, {200: "s. č. 771"}), (72, {24: "2."}), (80, {100: "Havanská", 200: "2-8"})]
+    second = page(120) + [(20, {150: "3", 200: "Ázijská", 300: "všetky"}), (40, {310: "55"})]
+    third = [(20, {30: "9", 100: "Bez hlavičky"})]
+    rows = [(d, n, x, y, w) for n, p in enumerate((first, second, third), 1) for d, _, x, y, w in words(p)]
+    frame = spark.createDataFrame(rows, "doc string, page int, x double, y double, text string")
+    got = catalogue.table_rules(frame, "ke_sidlisko_tahanovce").collect()
+    assert sorted((r.okrsok, r.street, r.cls, {"RANGE": lambda s: (s.raw, s.ranges[0].parity), "ENUM": lambda s: tuple(s.singles), "WHOLE": lambda s: ""}[r.cls](r.spec)) for r in got) == [
+        (1, "Havanská", "RANGE", ("1-9", "odd")), (1, "Čínska", "WHOLE", ""), (2, "", "ENUM", ("771",)), (2, "Havanská", "RANGE", ("2-8", "both")), (3, "", "ENUM", ("55",)), (3, "Ázijská", "WHOLE", ""),
+    ]
+
+
 def test_counts(spark):
     rules = spark.createDataFrame([("krasna", k) for k in (1, 2, 3, 4, 4)] + [("barca", 1)], "mcnorm string, okrsok int")
     got = {r.mcnorm: (r.rules, r.okrsky, r.flag) for r in catalogue.count_check(rules, catalogue.expected(spark)).collect()}

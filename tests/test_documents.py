@@ -13,13 +13,14 @@ def test_block_assignment_is_optimal():
     for _ in range(40):
         cells = np.array(sorted(rnd.randrange(100) for _ in range(rnd.randrange(1, 8))), float)
         anchors = np.array(sorted(rnd.randrange(100) for _ in range(rnd.randrange(1, len(cells) + 1))), float)
-        got = documents.block_assignment(cells, anchors)
-        cost = lambda owner: sum(abs(cells[owner == k].mean() - a) for k, a in enumerate(anchors))  # noqa: E731, B023
-        best = min(
-            cost(np.repeat(np.arange(len(anchors)), np.diff([0, *cut, len(cells)])))
-            for cut in itertools.combinations(range(1, len(cells)), len(anchors) - 1)
-        )
-        assert abs(cost(got) - best) < 1e-9
+        for center, middle in (("mean", np.mean), ("middle", lambda c: (c[0] + c[-1]) / 2)):
+            got = documents.block_assignment(cells, anchors, center)
+            cost = lambda owner: sum(abs(middle(cells[owner == k]) - a) for k, a in enumerate(anchors))  # noqa: E731, B023
+            best = min(
+                cost(np.repeat(np.arange(len(anchors)), np.diff([0, *cut, len(cells)])))
+                for cut in itertools.combinations(range(1, len(cells)), len(anchors) - 1)
+            )
+            assert abs(cost(got) - best) < 1e-9
     assert documents.block_assignment(np.array([10.0, 20, 30, 40, 50]), np.array([20.0, 45])).tolist() == [0, 0, 0, 1, 1]
 
 
