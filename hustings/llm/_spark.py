@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -26,12 +28,30 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+_made: ContextVar[list[DataFrame] | None] = ContextVar("made", default=None)
+
+
+@contextmanager
+def scratch() -> Iterator[None]:
+    """Deletes the tables that operators stage inside it at its end, for callers that have written by then what reads them."""
+    made: list[DataFrame] = []
+    token = _made.set(made)
+    try:
+        yield
+    finally:
+        _made.reset(token)
+        for df in made:
+            drop_table(df)
+
+
 def stage_table(df: DataFrame) -> DataFrame:
     """Write df as a table in the shared folder and read it back: cuts the lineage, survives lost executors."""
     path = f"{shared_dir(df.sparkSession)}/hustings-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     staged = df.sparkSession.read.schema(df.schema).parquet(path)
     staged._hustings_path = path
+    if (made := _made.get()) is not None:
+        made.append(staged)
     return staged
 
 

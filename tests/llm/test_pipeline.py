@@ -1,5 +1,6 @@
 """Every stage of the pipeline against a plain version over what its predecessor kept."""
 
+import os
 import re
 from collections import Counter, defaultdict
 
@@ -10,6 +11,8 @@ from test_text_ops import brute_targets
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from hustings.llm import exact_dedup
+from hustings.llm._spark import scratch, shared_dir, stage_table
 
 SF = "/root/testdata/sf0.01"
 
@@ -62,3 +65,21 @@ def test_edges(spark, docs, no_docs, tmp_path):
         assert frame.count() >= least
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     assert 0 < corpus_pipeline.run(spark, str(tmp_path)).count() <= 3 * len(DOCS)
+
+
+def test_staged_tables_go(spark, docs, tmp_path):
+    """Nothing that was staged inside a scratch outlives it, also where it breaks off; what is outside stays."""
+    lying = lambda: set(os.listdir(shared_dir(spark).removeprefix("file:")))
+    outside = stage_table(docs)
+    before = lying()
+    with scratch():
+        exact_dedup.keep_one(docs).write.parquet(f"{tmp_path}/kept")
+        assert lying() > before
+    assert lying() == before and outside.count() == len(DOCS)
+    try:
+        with scratch():
+            stage_table(docs)
+            raise ValueError
+    except ValueError:
+        pass
+    assert lying() == before
