@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from hustings.llm import bpe, exact_dedup, minhash_dedup, mixing, toxicity
-from hustings.llm._spark import shared_dir
+from hustings.llm._spark import scratch, shared_dir
 from hustings.llm.queries import tokenizer
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -65,7 +65,8 @@ def run(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFram
     """All stages over documents; each is written and read again.
 
     folder: where the stages lie, kept and used again: a run that broke off goes on behind its last whole stage. Without one
-    they lie in the shared folder, and each goes when the next one is written.
+    they lie in the shared folder, and each goes when the next one is written. Tables that a stage's operator made on the way
+    go with the end of the stage, also when it breaks off.
     """
     docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     top = folder or f"{shared_dir(spark)}/corpus-{uuid.uuid4().hex}"
@@ -73,7 +74,8 @@ def run(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFram
         path = spark._jvm.org.apache.hadoop.fs.Path(f"{top}/{k}-{name.replace(' ', '-')}")
         files = path.getFileSystem(spark._jsc.hadoopConfiguration())
         if not files.exists(spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")):
-            stage(spark, docs, sf_dir).write.mode("overwrite").parquet(path.toString())
+            with scratch():
+                stage(spark, docs, sf_dir).write.mode("overwrite").parquet(path.toString())
         docs = spark.read.parquet(path.toString())
         if before is not None and not folder:
             files.delete(before, True)
