@@ -1,5 +1,6 @@
 """The entry without the training-data subpackage: the other queries are all registered."""
 
+import os
 import shutil
 import subprocess
 import sys
@@ -25,3 +26,12 @@ def test_entry_without_parts(tmp_path, gone):
     assert "pipeline" not in queries
     if "hustings/llm" in gone:
         assert queries == set(registry.queries())
+
+
+def test_entry_with_another_copy_on_the_path(tmp_path):
+    """A part that is gone is not taken from another copy of the repository."""
+    shutil.copy(TOP / "__spark_entry__.py", tmp_path)
+    shutil.copytree(TOP / "hustings", tmp_path / "hustings", ignore=shutil.ignore_patterns("__pycache__"))
+    found = subprocess.run([sys.executable, "-c", SHOW], cwd=tmp_path, env=os.environ | {"PYTHONPATH": str(TOP)}, capture_output=True, text=True, check=True)
+    queries = set(found.stdout.split("--\n")[0].split())
+    assert "pipeline" not in queries and "op8_suffix_dedup" in queries
