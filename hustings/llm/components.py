@@ -5,7 +5,8 @@ are stars around the smallest node of each component (Kiveris et al., "Connected
 Components in MapReduce and Beyond"). Rounds exchange edges only, are written to
 the shared folder, and grow with the logarithm of the longest path. A node with
 very many neighbours is one value of a partial minimum and one key of a join
-that Spark splits when it is skewed.
+that Spark splits when it is skewed, for which the minima are dealt anew: it
+splits no join that takes a grouping as it lies.
 """
 
 from __future__ import annotations
@@ -16,16 +17,21 @@ from pyspark.sql import functions as F
 from hustings.llm._spark import drop_table, stage_table
 
 
+def _with_least(edges: DataFrame, least: DataFrame) -> DataFrame:
+    """Edges with the minimum m of their u; those of one u may go to several tasks."""
+    return edges.join(least.repartition(F.xxhash64("u")), "u")
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return both.where("v > u").join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return _with_least(both.where("v > u"), least).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     least = down.groupBy("u").agg(F.min("v").alias("m"))
-    moved = down.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    moved = _with_least(down, least).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 

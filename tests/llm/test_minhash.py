@@ -81,3 +81,31 @@ def test_components(spark):
     got = {r.node: r.component for r in components.connected_components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
     assert got == {n: root(n) for e in edges if e[0] != e[1] for n in e}
     assert components.connected_components(spark.createDataFrame([], "a long, b long"), "a", "b").count() == 0
+
+
+@pytest.mark.parametrize(("star", "sign"), [(components._large_star, 1), (components._small_star, -1)])
+def test_hub_is_split(spark, tmp_path, star, sign):
+    """A node with very many neighbours goes to several tasks of the join with the minima."""
+    edges = [(sign * k, 0 if k % 4 else sign * (k - 1)) for k in range(1, 20001)]
+    spark.createDataFrame(edges, "u long, v long").repartition(12).write.parquet(f"{tmp_path}/edges")
+    options = {
+        "spark.sql.shuffle.partitions": "20", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {k: spark.conf.get(k, None) for k in options}
+    try:
+        for k, v in options.items():
+            spark.conf.set(k, v)
+        found = star(spark.read.parquet(f"{tmp_path}/edges"))
+        rows = {(r.u, r.v) for r in found.collect()}
+        assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    near = {}
+    for a, b in edges:
+        near.setdefault(max(a, b), set()).add(min(a, b))
+        if sign > 0:
+            near.setdefault(min(a, b), set()).add(max(a, b))
+    least = {u: min(v | {u}) for u, v in near.items()}
+    assert rows == {(v, least[u]) for u, all_v in near.items() for v in (all_v if sign > 0 else all_v | {u}) if v != least[u] and (sign < 0 or v > u)}
