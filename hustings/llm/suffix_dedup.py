@@ -30,7 +30,9 @@ arrays decide which of them are equal:
 6. What holds for a piece holds for all places of its anchor and digest. Each
    document's covered stretches are merged, cut out, and the rest is hashed.
 
-Texts are exchanged twice, for the cutting of steps 2 and 6. Tables between the
+Texts are exchanged twice, for the cutting of steps 2 and 6, and once more for the
+words in passages that another row has, which are counted beside (`shared_passages`),
+whether their bytes go or not. Tables between the
 steps lie in the shared folder and are deleted once later ones hold what they
 gave; the one of stretches stays for the result to read.
 
@@ -51,7 +53,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hustings.llm import _text
+from hustings.llm import _text, shared_passages
 from hustings.llm._spark import drop_table, grouped, map_arrow, stage_table
 from hustings.llm._text import U64
 
@@ -63,20 +65,11 @@ CHUNK_BYTES = 1 << 20
 _PLACE = U64((1 << 26) - 1)
 
 
-def window_minimum(values: np.ndarray, width: int) -> np.ndarray:
-    """Minimum of every run of width values."""
-    n = len(values)
-    rows = np.concatenate([values, np.full(-n % width, np.iinfo(np.uint64).max, U64)]).reshape(-1, width)
-    ahead = np.minimum.accumulate(rows, 1).ravel()
-    behind = np.minimum.accumulate(rows[:, ::-1], 1)[:, ::-1].ravel()
-    return np.minimum(behind[: n - width + 1], ahead[width - 1 : n])
-
-
 def _cut(data: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     sums, down = _text.prefix_sums(data)
     grams = _text.mix((sums[gram:] - sums[: len(data) - gram + 1]) * down[: len(data) - gram + 1])
     places = np.arange(len(grams), dtype=U64) & _PLACE
-    place = window_minimum(grams & ~_PLACE | places, window - gram + 1) & _PLACE
+    place = _text.window_minimum(grams & ~_PLACE | places, window - gram + 1) & _PLACE
     start = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
     count = np.diff(np.append(start, len(place)))
     # the anchor of window i is less than window places on
@@ -351,7 +344,7 @@ def _merge_shards(window: int):
     return over
 
 
-def _remove(id_col: str, with_text: bool):
+def _remove(id_col: str, with_text: bool):  # columns: identifier, text, spans, n_shared_words
     def over(batch: pa.RecordBatch) -> pa.RecordBatch:
         counts, removed, runs, digests, kept_text = [], [], [], [], []
         for text, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
@@ -372,8 +365,8 @@ def _remove(id_col: str, with_text: bool):
             runs.append(n)
             digests.append(hashlib.sha256(rest).hexdigest())
             kept_text.append(rest if with_text else None)
-        columns = [batch.column(0), *(pa.array(x, pa.int64()) for x in (counts, removed, runs)), pa.array(digests), pa.array(kept_text, pa.binary())]
-        return pa.RecordBatch.from_arrays(columns, [id_col, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+        columns = [batch.column(0), *(pa.array(x, pa.int64()) for x in (counts, removed, runs)), pa.array(digests), pa.array(kept_text, pa.binary()), batch.column(3)]
+        return pa.RecordBatch.from_arrays(columns, [id_col, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "n_shared_words"])
 
     return over
 
@@ -408,11 +401,13 @@ def find_repeats(texts: DataFrame, window: int, gram: int) -> DataFrame:
     return spans
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM, with_text: bool = True) -> DataFrame:
-    """A row per document: identifier, n_bytes, n_removed, n_spans, kept_sha256 and kept (the remaining bytes; null if not with_text)."""
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM, with_text: bool = True, words: int = shared_passages.WIDTH) -> DataFrame:
+    """A row per document: identifier, n_bytes, n_removed, n_spans, kept_sha256, kept (the remaining bytes; null if not with_text)
+    and n_shared_words (words in runs of that many words that another row has too, removed or not)."""
     texts = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).select("__id", "text", *_doc_keys("__id"))
+    shared = shared_passages.shared_words(texts, words, min(shared_passages.GRAM, words))
     spans = find_repeats(texts, window, gram)
     per_text = spans.groupBy(*_KEYS).agg(F.collect_set(F.struct("begin", "end")).alias("spans"))  # a set: rows may repeat
-    joined = texts.join(per_text, _KEYS, "left").select("__id", "text", "spans")
+    joined = texts.join(per_text, _KEYS, "left").join(shared, _KEYS, "left").select("__id", "text", "spans", F.coalesce("n_shared_words", F.lit(0).cast("long")))
     kind = docs.schema[id_col].dataType.simpleString()
-    return map_arrow(joined, _remove(id_col, with_text), f"`{id_col}` {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    return map_arrow(joined, _remove(id_col, with_text), f"`{id_col}` {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, n_shared_words long")
