@@ -10,6 +10,8 @@ broadcasts the streets where its statistics say that they are few, and splits a
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -131,20 +133,26 @@ def match(addresses: DataFrame, indexed: DataFrame) -> DataFrame:
     return decided.select(*addresses.columns, status.alias("status"), F.col("chosen.okrsok").alias("okrsok"), F.col("chosen.row_idx").alias("row_idx"))
 
 
-def seed_stats(matched: DataFrame, indexed: DataFrame) -> DataFrame:
-    """A row per area: precincts, precincts with seeds, addresses by outcome and the match rate in per cent."""
+def seed_stats(matched: DataFrame, indexed: DataFrame, times: str | None = None) -> DataFrame:
+    """A row per area: precincts, precincts with seeds, addresses by outcome and the match rate in per cent. times: how often a row counts."""
+    if times:
+        return _seed_stats(matched, indexed, lambda s: F.sum(F.when(F.col("status") == s, F.col(times)).otherwise(0)), F.sum(times))
+    return _seed_stats(matched, indexed, lambda s: F.count_if(F.col("status") == s), F.count("*"))
+
+
+def _seed_stats(matched: DataFrame, indexed: DataFrame, of: Callable[[str], Column], all_rows: Column) -> DataFrame:
     counts = matched.groupBy("mcnorm").agg(
-        F.count("*").alias("street_pts"), F.count_distinct("okrsok").alias("okrsky_seeded"),
-        *(F.count_if(F.col("status") == s).alias(n) for s, n in (("ok", "matched"), ("no-street", "no_street"), ("no-number", "no_number"), ("ambiguous", "ambiguous"))),
-        F.round(F.try_divide(100.0 * F.count_if(F.col("status") == "ok"), F.count("*")), 1).alias("match_pct"),
+        all_rows.alias("street_pts"), F.count_distinct("okrsok").alias("okrsky_seeded"),
+        *(of(s).alias(n) for s, n in (("ok", "matched"), ("no-street", "no_street"), ("no-number", "no_number"), ("ambiguous", "ambiguous"))),
+        F.round(F.try_divide(100.0 * of("ok"), all_rows), 1).alias("match_pct"),
     )
     return counts.join(indexed.groupBy("mcnorm").agg(F.count_distinct("okrsok").alias("okrsky")), "mcnorm", "left")
 
 
-def uncovered_rules(matched: DataFrame, indexed: DataFrame) -> DataFrame:
-    """Rules other than institutions that decide no address, with the register's addresses on their street."""
+def uncovered_rules(matched: DataFrame, indexed: DataFrame, times: str | None = None) -> DataFrame:
+    """Rules other than institutions that decide no address, with the register's addresses on their street. times: how often a row counts."""
     used = matched.where("row_idx is not null").select("row_idx").distinct()
-    by_name = matched.groupBy("mcnorm", "street").agg(F.count("*").alias("n"))
+    by_name = matched.groupBy("mcnorm", "street").agg((F.sum(times) if times else F.count("*")).alias("n"))
     on_street = by_name.groupBy("mcnorm", street_key(norm(F.col("street"))).alias("key")).agg(F.sum("n").alias("ra_pts_on_street"))
     left = indexed.where("cls <> 'INSTITUTION'").join(used, "row_idx", "left_anti").join(on_street, ["mcnorm", "key"], "left")
     return left.select("mcnorm", "okrsok", "key", "cls", "row_idx", F.coalesce("ra_pts_on_street", F.lit(0).cast("long")).alias("ra_pts_on_street"))
