@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from hustings.operators import blocks, geometry, label, matching, overlay
+from hustings.operators import blocks, geometry, label, matching, overlay, voronoi
 
 POINTS, RINGS = "p long, x double, y double", "mc string, k long, ring array<struct<x:double,y:double>>"
 
@@ -91,3 +91,13 @@ def test_streets_and_numbers_are_matched_once(spark):
     rows = each.collect()
     assert len(rows) == 99 and all(r.status == "ok" and r.okrsok == 1 for r in rows)
     assert blocks.BLOCK < 1500  # crowds above are several blocks
+
+
+def test_first_grid_follows_the_seeds(spark):
+    r = random.Random(7)
+    frame = spark.createDataFrame([("m", k, r.uniform(0, 100), r.uniform(0, 100)) for k in range(1200)], "mc string, id long, x double, y double")
+    size, more = voronoi._finest(frame, ["mc"], "x", "y", 100.0)
+    assert size == 100 / 16 and more == 2 and voronoi._finest(frame.limit(2), ["mc"], "x", "y", 100.0) == (100.0, 0)
+    limits = spark.createDataFrame([("m", -10.0, -10.0, 110.0, 110.0)], "mc string, x0 double, y0 double, x1 double, y1 double")
+    found = voronoi.cells(frame, limits, ["mc"], "id", 100.0).select("id", geometry.signed_area(F.col("ring")).alias("a")).collect()
+    assert len(found) == 1200 and abs(sum(f.a for f in found) - 120**2) < 1e-6
