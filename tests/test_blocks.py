@@ -101,3 +101,10 @@ def test_first_grid_follows_the_seeds(spark):
     limits = spark.createDataFrame([("m", -10.0, -10.0, 110.0, 110.0)], "mc string, x0 double, y0 double, x1 double, y1 double")
     found = voronoi.cells(frame, limits, ["mc"], "id", 100.0).select("id", geometry.signed_area(F.col("ring")).alias("a")).collect()
     assert len(found) == 1200 and abs(sum(f.a for f in found) - 120**2) < 1e-6
+
+
+def test_near_a_crowd_of_shapes(spark):
+    points, shapes, frame, rings = crowd(spark, 400, 60)
+    found = overlay.within_reach(frame.withColumn("mc", F.lit("a")), rings.select("mc", F.array("ring").alias("rings")), "p", ["mc"], 0.5)
+    off = lambda x, y, s: (max(abs(x + y - s[2] - s[3]) - s[4], 0) ** 2 + max(abs(x - y - s[2] + s[3]) - s[4], 0) ** 2) ** 0.5 / 2**0.5
+    assert {r.p for r in found.collect()} == {p for p, x, y in points if any(off(x, y, s) <= 0.5 for s in shapes if s[0] == "a")}
