@@ -108,3 +108,20 @@ def test_near_a_crowd_of_shapes(spark):
     found = overlay.within_reach(frame.withColumn("mc", F.lit("a")), rings.select("mc", F.array("ring").alias("rings")), "p", ["mc"], 0.5)
     off = lambda x, y, s: (max(abs(x + y - s[2] - s[3]) - s[4], 0) ** 2 + max(abs(x - y - s[2] + s[3]) - s[4], 0) ** 2) ** 0.5 / 2**0.5
     assert {r.p for r in found.collect()} == {p for p, x, y in points if any(off(x, y, s) <= 0.5 for s in shapes if s[0] == "a")}
+
+
+def test_points_of_overlapping_pairs(spark):
+    points, shapes, frame, rings = crowd(spark, 300, 1100)
+    seeds = frame.select(F.struct(F.when(F.col("p") % 3 == 0, "a").when(F.col("p") % 3 == 1, "b").alias("mc")).alias("home"), "x", "y")
+    found = geometry.points_of_pairs(seeds, rings.select(F.col("k").alias("key"), F.struct("mc").alias("home"), "ring"), 40.0)
+    got = {(r.a, r.b): (r.na, r.nb) for r in found.groupBy("a", "b").agg(F.sum("na").alias("na"), F.sum("nb").alias("nb")).collect()}
+    want = {}
+    for p, x, y in points:
+        holding = [(k, mc) for mc, k, sx, sy, r in shapes if abs(x - sx) + abs(y - sy) <= r and inside(diamond(sx, sy, r), x, y)]
+        for a, ma in holding:
+            for b, mb in holding:
+                home = {0: "a", 1: "b"}.get(p % 3)
+                if a < b and home in (ma, mb):
+                    n = want.get((a, b), (0, 0))
+                    want[a, b] = n[0] + (home == ma), n[1] + (home == mb)
+    assert got == want and len(want) > 1000
