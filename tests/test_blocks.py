@@ -125,3 +125,11 @@ def test_points_of_overlapping_pairs(spark):
                     n = want.get((a, b), (0, 0))
                     want[a, b] = n[0] + (home == ma), n[1] + (home == mb)
     assert got == want and len(want) > 1000
+
+
+def test_lone_shapes_are_not_packed(spark, monkeypatch):
+    packed, seen = blocks.packed, []
+    monkeypatch.setattr(blocks, "packed", lambda rows, *a, **k: seen.append(rows.count()) or packed(rows, *a, **k))
+    square = [(0.0, 0.0), (9.0, 0.0), (9.0, 9.0), (0.0, 9.0)]
+    rings = spark.createDataFrame([(mc, k, square) for k, mc in enumerate("abcdd")], RINGS)
+    assert [(r.a, r.b, r.overlap) for r in geometry.overlaps(rings, "k", 100.0, by=["mc"]).collect()] == [(3, 4, 81.0)] and seen == [2]
